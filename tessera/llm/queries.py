@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import table, unsigned_crc32
+from tessera.llm.decontamination import digest, matches
 from tessera.llm.mixing import cycle_quotas, mix, word_count
 from tessera.llm.sharding import rendezvous, shard_records
+from tessera.llm.token_counts import count_tokens, default_model
 
 SHARDS = 40
 
@@ -20,6 +22,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("__size").alias("size"), "source_size", "target", "taken")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return digest(matches(docs, table(spark, sf_dir, "benchmark")))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 16
@@ -28,8 +35,13 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("grown_shard", rendezvous(F.col("doc_id"), [1.0] * (SHARDS + 1))).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return count_tokens(docs, default_model()).withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_mixing": op2_mixing, "op6_sharding": op6_sharding}
+    return {"op2_mixing": op2_mixing, "op4_decontamination": op4_decontamination, "op6_sharding": op6_sharding, "op9_token_counts": op9_token_counts}
 
 
 def oracle_sql() -> dict[str, str]:
