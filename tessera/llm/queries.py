@@ -11,6 +11,7 @@ from tessera.llm.common import table, unsigned_crc32
 from tessera.llm.decontamination import digest, matches
 from tessera.llm.mixing import cycle_quotas, mix, word_count
 from tessera.llm.sharding import rendezvous, shard_records
+from tessera.llm.simhash import near_duplicates
 from tessera.llm.token_counts import count_tokens, default_model
 
 SHARDS = 40
@@ -22,6 +23,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("__size").alias("size"), "source_size", "target", "taken")
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates(docs).select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return digest(matches(docs, table(spark, sf_dir, "benchmark")))
@@ -41,7 +47,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_mixing": op2_mixing, "op4_decontamination": op4_decontamination, "op6_sharding": op6_sharding, "op9_token_counts": op9_token_counts}
+    return {"op2_mixing": op2_mixing, "op3_simhash": op3_simhash, "op4_decontamination": op4_decontamination, "op6_sharding": op6_sharding, "op9_token_counts": op9_token_counts}
 
 
 def oracle_sql() -> dict[str, str]:
