@@ -14,6 +14,7 @@ from tessera.llm.sharding import rendezvous, shard_records
 from tessera.llm.simhash import near_duplicates
 from tessera.llm.sketches import edited_likeness
 from tessera.llm.token_counts import count_tokens, default_model
+from tessera.llm.toxicity import fit, fold, score
 
 SHARDS = 40
 
@@ -34,6 +35,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(matches(docs, table(spark, sf_dir, "benchmark")))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score(docs, fit(docs, table(spark, sf_dir, "labels")), spans=None)
+    return scored.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 16
@@ -52,7 +59,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_mixing": op2_mixing, "op3_simhash": op3_simhash, "op4_decontamination": op4_decontamination, "op6_sharding": op6_sharding, "op7_fingerprints": op7_fingerprints, "op9_token_counts": op9_token_counts}
+    return {"op2_mixing": op2_mixing, "op3_simhash": op3_simhash, "op4_decontamination": op4_decontamination, "op5_toxicity": op5_toxicity, "op6_sharding": op6_sharding, "op7_fingerprints": op7_fingerprints, "op9_token_counts": op9_token_counts}
 
 
 def oracle_sql() -> dict[str, str]:
