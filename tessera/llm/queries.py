@@ -13,6 +13,7 @@ from tessera.llm.mixing import cycle_quotas, mix, word_count
 from tessera.llm.sharding import rendezvous, shard_records
 from tessera.llm.simhash import near_duplicates
 from tessera.llm.sketches import edited_likeness
+from tessera.llm.suffix_dedup import digest as repeats_digest
 from tessera.llm.token_counts import count_tokens, default_model
 from tessera.llm.toxicity import fit, fold, score
 
@@ -53,13 +54,17 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_likeness(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats_digest(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return count_tokens(docs, default_model()).withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_mixing": op2_mixing, "op3_simhash": op3_simhash, "op4_decontamination": op4_decontamination, "op5_toxicity": op5_toxicity, "op6_sharding": op6_sharding, "op7_fingerprints": op7_fingerprints, "op9_token_counts": op9_token_counts}
+    return {"op2_mixing": op2_mixing, "op3_simhash": op3_simhash, "op4_decontamination": op4_decontamination, "op5_toxicity": op5_toxicity, "op6_sharding": op6_sharding, "op7_fingerprints": op7_fingerprints, "op8_suffix_dedup": op8_suffix_dedup, "op9_token_counts": op9_token_counts}
 
 
 def oracle_sql() -> dict[str, str]:
