@@ -9,17 +9,23 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import table, unsigned_crc32
 from tessera.llm.decontamination import digest, matches
+from tessera.llm.line_dedup import dedup_lines
 from tessera.llm.mixing import cycle_quotas, mix, word_count
 from tessera.llm.sharding import rendezvous, shard_records
 from tessera.llm.simhash import near_duplicates
 from tessera.llm.sketches import edited_likeness
 from tessera.llm.suffix_dedup import digest as repeats_digest
 from tessera.llm.token_counts import count_tokens, default_model
+from tessera.llm.token_store import default_ranks, records
 from tessera.llm.toxicity import fit, fold, score
 
 SHARDS = 40
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     out = mix(docs, "doc_id", word_count(F.col("text")), F.array("source"), cycle_quotas((5, 2, 1), 1.5, 2.0))
@@ -63,8 +69,12 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(docs, default_model()).withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
+def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records(table(spark, sf_dir, "documents"), default_ranks())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_mixing": op2_mixing, "op3_simhash": op3_simhash, "op4_decontamination": op4_decontamination, "op5_toxicity": op5_toxicity, "op6_sharding": op6_sharding, "op7_fingerprints": op7_fingerprints, "op8_suffix_dedup": op8_suffix_dedup, "op9_token_counts": op9_token_counts}
+    return {"op1_line_dedup": op1_line_dedup, "op2_mixing": op2_mixing, "op3_simhash": op3_simhash, "op4_decontamination": op4_decontamination, "op5_toxicity": op5_toxicity, "op6_sharding": op6_sharding, "op7_fingerprints": op7_fingerprints, "op8_suffix_dedup": op8_suffix_dedup, "op9_token_counts": op9_token_counts, "op10_token_store": op10_token_store}
 
 
 def oracle_sql() -> dict[str, str]:

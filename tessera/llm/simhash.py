@@ -89,7 +89,7 @@ def matrix(column: pa.Array, words64: int) -> np.ndarray:
 
 
 def bit_counts(distinct: DataFrame, words64: int) -> tuple[int, np.ndarray]:
-    """How many fingerprints there are, and how many have each two bits; summed where the fingerprints lie."""
+    """How many fingerprints there are, and how many have each two bits; summed where the fingerprints lie, a row of the table a bit."""
     bits = 64 * words64
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,17 +100,18 @@ def bit_counts(distinct: DataFrame, words64: int) -> tuple[int, np.ndarray]:
                 both += x.T @ x
                 n += len(x)
         if n:
-            at = np.flatnonzero(both)
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(both.ravel()[at], n).astype(np.int64))], names=["at", "n"])
+            rows = [r.tobytes() for r in np.concatenate((both, np.full((1, bits), float(n))))]
+            yield pa.RecordBatch.from_arrays([pa.array(range(bits + 1), pa.int32()), pa.array(rows, pa.binary())], names=["bit", "counts"])
 
-    rows = distinct.select("fp").mapInArrow(count, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()
-    n, both = 0, np.zeros(bits * bits)
+    def add(pdf):
+        total = sum(np.frombuffer(x) for x in pdf["counts"])
+        return pdf.iloc[:1].assign(counts=[total.tobytes()])
+
+    rows = distinct.select("fp").mapInArrow(count, "bit int, counts binary").groupBy("bit").applyInPandas(add, "bit int, counts binary").collect()
+    table = np.zeros((bits + 1, bits))
     for r in rows:
-        if r["at"] < 0:
-            n = r["n"]
-        else:
-            both[r["at"]] = r["n"]
-    return n, both.reshape(bits, bits)
+        table[r["bit"]] = np.frombuffer(r["counts"])
+    return int(table[bits, 0]), table[:bits]
 
 
 def grouped_bits(n: int, both: np.ndarray, m: int) -> list[list[int]]:
