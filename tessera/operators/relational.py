@@ -97,7 +97,7 @@ def until_streak(df: DataFrame, group: Sequence[str], order: Sequence[str], bad:
     in_run = Window.partitionBy(*group, "__run").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counted = counted.withColumn("__long", (F.sum("__bad").over(in_run) >= streak).cast("int"))
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    return counted.filter(F.coalesce(F.max("__long").over(before), F.lit(0)) == 0).drop("__bad", "__run", "__long")
+    return counted.withColumn("__over", F.coalesce(F.max("__long").over(before), F.lit(0))).filter("__over = 0").drop("__bad", "__run", "__long", "__over")
 
 
 def batches(df: DataFrame, group: Sequence[str], order: Sequence[str], size: int, item: Column) -> DataFrame:
