@@ -77,5 +77,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_line_dedup": op1_line_dedup, "op2_mixing": op2_mixing, "op3_simhash": op3_simhash, "op4_decontamination": op4_decontamination, "op5_toxicity": op5_toxicity, "op6_sharding": op6_sharding, "op7_fingerprints": op7_fingerprints, "op8_suffix_dedup": op8_suffix_dedup, "op9_token_counts": op9_token_counts, "op10_token_store": op10_token_store}
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+#: Windows of documents and items as joined words, met by equality.
+OP4_SQL = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {WORDS} AS w FROM benchmark),
+i AS (SELECT item, w, least(len(w), 10) AS m FROM b WHERE len(w) > 0),
+win AS (SELECT DISTINCT item, m, array_to_string(w[p:p + m - 1], ' ') AS s FROM (SELECT item, w, m, unnest(range(1, len(w) - m + 2)) AS p FROM i)),
+sizes AS (SELECT DISTINCT m FROM win),
+dw AS (SELECT r, m, p, array_to_string(w[p:p + m - 1], ' ') AS s FROM (SELECT r, w, m, unnest(range(1, len(w) - m + 2)) AS p FROM d, sizes)),
+found AS (SELECT dw.r, dw.m, dw.p, win.item FROM dw JOIN win ON win.m = dw.m AND win.s = dw.s),
+hit AS (SELECT r, count(DISTINCT q) AS n FROM (SELECT r, unnest(range(p, p + m)) AS q FROM (SELECT DISTINCT r, m, p FROM found)) GROUP BY r),
+items AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, hit.n IS NOT NULL AS contaminated FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_decontamination": OP4_SQL}
