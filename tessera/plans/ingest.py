@@ -39,7 +39,8 @@ def clean(postings: DataFrame, source: str, fetched_at: Column, key: bytes | Non
 
 def normalise(rows: DataFrame, places: DataFrame) -> DataFrame:
     """Rows with pay, education, experience, employment and place derived anew from their raw text."""
-    pay = parse_salary(F.col("salary_raw"))
+    rows = rows.withColumn("__pay", parse_salary(F.col("salary_raw")))  # its own projection: three columns read it, it is computed once
+    pay = F.col("__pay")
     extra = lambda k: F.get_json_object("extra_json", f"$.{k}")
     derived = rows.withColumns(
         {
@@ -56,7 +57,7 @@ def normalise(rows: DataFrame, places: DataFrame) -> DataFrame:
     where = gazetteer.resolve(derived, places, "location_raw").withColumnRenamed("raw", "__raw")
     joined = derived.join(where, F.col("location_raw").eqNullSafe(F.col("__raw")), "left").drop("__raw")
     fine = gazetteer.refine(joined, "__street", places)
-    return fine.withColumn("is_remote", F.col("is_remote") | F.col("__remote")).drop("__street", "__remote")
+    return fine.withColumn("is_remote", F.col("is_remote") | F.col("__remote")).drop("__street", "__remote", "__pay")
 
 
 def coverage(rows: DataFrame) -> DataFrame:
