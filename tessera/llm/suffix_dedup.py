@@ -405,9 +405,9 @@ def with_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     by_row = rows.repartition(partitions(docs), "rk")  # both joins below read this one exchange
     at = repeated_anchors(anchor_rows(rows, length)).groupBy("rk").agg(F.sort_array(F.collect_set("pos")).alias("at"))
     around = surroundings(by_row.join(at.hint("shuffle_hash"), "rk").select("doc_id", "text", "rk", "at"), length)
-    spans = repeated_spans(around, length).filter(F.col("last") - F.col("first") >= length).groupBy("rk", "doc_id").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("found"))
-    spans = spans.select(F.col("rk").alias("__rk"), F.col("doc_id").alias("__id"), "found")
-    joined = by_row.join(spans.hint("shuffle_hash"), (F.col("rk") == F.col("__rk")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left")
+    # grouped and joined by rk alone, so that both sides of both joins share one partitioning; rows of other ids with an equal rk are told apart behind it
+    spans = repeated_spans(around, length).filter(F.col("last") - F.col("first") >= length).groupBy("rk").agg(F.sort_array(F.collect_set(F.struct("first", "last", "doc_id"))).alias("all"))
+    joined = by_row.join(spans.hint("shuffle_hash"), "rk", "left").withColumn("found", F.filter("all", lambda x: x["doc_id"].eqNullSafe(F.col("doc_id"))))
     # collected pairs are ordered by their beginnings; union them
     merged = F.aggregate(
         "found",
