@@ -13,7 +13,8 @@ byte by byte, make classes of equal windows; a window is repeated if another pla
 same distance is in its class. Order is exact to more than `length` bytes, which is all that is compared.
 
 Skew: anchors and surroundings that are equal within a task are told before the exchange and go on as one
-witness, so a passage of a third of all documents sends a row a task, not a row a document.
+witness, so a passage of a third of all documents sends a row a task, not a row a document. Surroundings of one
+anchor that all differ and are too many to sort at once are looked up window by window, at one distance at a time.
 
 Defined cases: null reads as empty; shorter texts keep everything; equal rows are repeats of each other; windows
 may overlap themselves. Removal is judged on bytes; `remove_repeats` drops the rest of a cut character.
@@ -37,6 +38,8 @@ from tessera.llm.sketches import BASE, INVERSE, powers
 LENGTH, GRAM = 200, 24
 #: Bytes that are hashed, or sorted, at once.
 HASH_BYTES, SORT_BYTES = 1 << 20, 1 << 21
+#: Bytes of different surroundings of one anchor beyond which they are compared distance by distance instead of sorted.
+GROUP_BYTES = 8 << 20
 #: Bytes of surroundings that a task remembers to find equal ones before the exchange.
 KNOWN_BYTES = 64 << 20
 
@@ -258,6 +261,26 @@ def merge_spans(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
     return list(zip(a.tolist(), b.tolist(), strict=True))
 
 
+def by_distance(members: list[tuple[bytes, list]], length: int) -> list[tuple]:
+    """Repeated spans of very many surroundings of one anchor: windows that have it at one distance are looked up at a time, in memory of one window a member."""
+    again: dict[int, list[int]] = {}
+    for distance in range(max(x[2] for _, x in members) + 1):
+        seen: dict[bytes, int] = {}
+        for k, (near, row) in enumerate(members):
+            start = row[2] - distance
+            if 0 <= start <= len(near) - length:
+                first = seen.setdefault(near[start : start + length], k)
+                if first != k:
+                    again.setdefault(k, []).append(start)
+                    again.setdefault(first, []).append(members[first][1][2] - distance)
+    out = []
+    for k, starts in again.items():
+        doc, rk, _, first, twice = members[k][1]
+        if not twice:
+            out += [(doc, rk, x, y) for x, y in merge_spans(np.unique(np.array(starts)) + first, length)]
+    return out
+
+
 SURROUNDINGS = "h long, doc_id long, rk long, first int, place int, twice boolean, near binary, last int"
 
 
@@ -364,10 +387,14 @@ def repeated_spans(around: DataFrame, length: int) -> DataFrame:
         def batch(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["doc_id", "rk", "first", "last"])
 
-        def close() -> None:
-            if len(group) > 1:
-                sorter.add([(key[0], x) for key, x in group.items()])
+        def close() -> list[tuple]:
+            members = [(key[0], x) for key, x in group.items()]
             group.clear()
+            if sum(len(near) for near, _ in members) > GROUP_BYTES:
+                return by_distance(members, length)
+            if len(members) > 1:
+                sorter.add(members)
+            return []
 
         for b in batches:
             out = []
@@ -376,7 +403,7 @@ def repeated_spans(around: DataFrame, length: int) -> DataFrame:
                     out.append((doc, rk, first, last))
                     continue
                 if h != now:
-                    close()
+                    out += close()
                     now = h
                 known = group.get((near, place))
                 if known is None:
@@ -391,8 +418,7 @@ def repeated_spans(around: DataFrame, length: int) -> DataFrame:
                 out += sorter.drain()
             if out:
                 yield batch(out)
-        close()
-        if out := sorter.drain():
+        if out := close() + sorter.drain():
             yield batch(out)
 
     dealt = around.repartition(partitions(around), "h").sortWithinPartitions("h")

@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 
-from tessera.llm.suffix_dedup import anchors, digest, equal_windows, remove_repeats, suffix_order
+from tessera.llm.suffix_dedup import anchors, by_distance, digest, equal_windows, remove_repeats, suffix_order
 
 
 def test_suffix_order():
@@ -84,3 +84,23 @@ def test_removed_text(spark):
     same = "shared passage " * 20
     docs = spark.createDataFrame([(1, "one é " + same), (2, "two " + same)], "doc_id long, text string")
     assert {r["doc_id"]: r["text"] for r in remove_repeats(docs).collect()} == {1: "one é", 2: "two"}
+
+
+def test_surroundings_by_distance():
+    rnd = random.Random(6)
+    word = lambda n: bytes(rnd.choice(b"ab") for _ in range(n))
+    members = []
+    for i in range(60):
+        left, right = word(rnd.randint(0, 9)), word(rnd.randint(0, 9))
+        members.append((left + b"anchor" + right, [i, 100 + i, len(left), 1000, i % 7 == 0]))
+    times = Counter((near[s : s + 12], row[2] - s) for near, row in members for s in range(max(0, len(near) - 11)) if s <= row[2])
+    want = set()
+    for near, row in members:
+        hit = set()
+        for s in range(max(0, len(near) - 11)):
+            if s <= row[2] and times[near[s : s + 12], row[2] - s] > 1:
+                hit |= set(range(s, s + 12))
+        if not row[4]:
+            want |= {(row[0], row[1], 1000 + x) for x in hit}
+    got = {(d, r, x) for d, r, a, b in by_distance(members, 12) for x in range(a, b)}
+    assert got == want and want
