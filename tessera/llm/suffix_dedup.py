@@ -35,7 +35,7 @@ from tessera.llm.common import partitions
 from tessera.llm.simhash import mixed
 from tessera.llm.sketches import BASE, INVERSE, powers
 
-LENGTH, GRAM = 200, 24
+LENGTH, GRAM = 200, 64
 #: Bytes that are hashed, or sorted, at once.
 HASH_BYTES, SORT_BYTES = 1 << 20, 1 << 21
 #: Bytes of different surroundings of one anchor beyond which they are compared distance by distance instead of sorted.
