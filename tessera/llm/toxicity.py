@@ -39,6 +39,8 @@ SAMPLE, SEED = 4000, 5
 #: Least log-likelihood ratio (G squared) and least documents of a lexicon word.
 LEAST_G, LEAST_DOCUMENTS = 14.0, 3
 PIECE, STEPS, GAPS = 64, 80, 512
+#: Training pieces whose marginals are held at once.
+PIECES_AT_ONCE = 2048
 
 SPLIT = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 WORD = re.compile(rb"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
@@ -91,9 +93,12 @@ def train_chain(ids: np.ndarray, tags: np.ndarray, mask: np.ndarray, weight: np.
             both[a, b] = (weight[:, None] * mask[:, 1:] * (tags[:, :-1] == a) * (tags[:, 1:] == b)).sum()
     total = max(1.0, w.sum())
     for step in range(1, STEPS + 1):
-        post, pair, _ = chain(theta[:classes], theta[classes:].reshape(2, 2), ids, mask)
-        want = np.bincount(ids.ravel(), (weight[:, None] * post).ravel(), classes)
-        moved = (weight[:, None, None, None] * pair).sum((0, 1))
+        want, moved = np.zeros(classes), np.zeros((2, 2))
+        for at in range(0, len(ids), PIECES_AT_ONCE):
+            part = slice(at, at + PIECES_AT_ONCE)
+            post, pair, _ = chain(theta[:classes], theta[classes:].reshape(2, 2), ids[part], mask[part])
+            want += np.bincount(ids[part].ravel(), (weight[part, None] * post).ravel(), classes)
+            moved += np.einsum("n,ntab->ab", weight[part], pair)
         # each weight's slope is measured against how often it is at stake, so that rare words learn as fast
         at_stake = np.concatenate((np.bincount(ids.ravel(), w, classes) + 1, np.full(4, total)))
         slope = (np.concatenate((seen - want, (both - moved).ravel())) - 0.5 * theta) / at_stake
