@@ -1,11 +1,17 @@
-"""Line dedup over content-defined chunks of lines (operator 1).
+"""Line dedup over repeated runs of lines, or over content-defined chunks of lines (operator 1).
 
-A text is its lines (cut at newlines). A hash rolls over the hashes of the last WINDOW lines; where it meets a
+Runs (`dedup_runs`, the registered query): of every run of two lines or more that occurs again anywhere, equal in
+every byte, the first occurrence stays and the lines of all others go. A run occurs again just if each of its pairs
+of neighbouring lines does, so pairs of neighbours meet; all repeated runs are found, whatever stands around them.
+Pairs meet as hashes alone first; the bytes travel only of those whose hash occurs again.
+A line that a run's first occurrence shares with an overlapping second one (three equal lines or more) stays.
+
+Chunks (`dedup_lines`): a text is its lines (cut at newlines). A hash rolls over the hashes of the last WINDOW lines; where it meets a
 mask, a chunk ends, so boundaries follow the content and stay where they are when lines are put in before them.
 Chunks have between LEAST and MOST lines. Of each chunk of two lines or more that occurs again anywhere, equal in
 every byte, the first occurrence stays (smallest doc_id, then text hash, then place) and all others go.
 
-Equal chunks meet by hash. Those that meet within a task are settled before the exchange, so a chunk that a third
+Equal chunks or pairs meet by hash. Those that meet within a task are settled before the exchange, so a chunk that a third
 of all documents share sends one row a task.
 
 Defined cases: null stays null and has no lines; the empty text is one empty line, which stays; equal rows (same
@@ -15,7 +21,7 @@ by newlines.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -54,7 +60,22 @@ def chunks(text: bytes) -> list[bytes]:
     return [b"\n".join(lines[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
 
 
-Place = tuple  # (no id, id, text hash, chunk number)
+def pairs(text: bytes) -> list[bytes]:
+    """Each line with the next."""
+    lines = text.split(b"\n")
+    return [a + b"\n" + b for a, b in zip(lines, lines[1:], strict=False)]
+
+
+def covered(lines: list[bytes], again: set[int]) -> set[int]:
+    """The lines of the pairs that occurred before; of a pair that overlaps its own first occurrence only the second."""
+    out = {i + 1 for i in again}
+    for i in again:
+        if i == 0 or i - 1 in again or not lines[i - 1] == lines[i] == lines[i + 1]:
+            out.add(i)
+    return out
+
+
+Place = tuple  # (no id, id, text hash, number of the chunk or pair)
 
 
 def settle(known: dict[bytes, Place], chunk: bytes, place: Place) -> Place | None:
@@ -71,8 +92,8 @@ NAMES = ["h", "doc_id", "rk", "n", "chunk"]
 KINDS = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
 
 
-def gone_chunks(rows: DataFrame) -> DataFrame:
-    """(doc_id, rk, n): the chunks to remove from (doc_id, text, rk) rows."""
+def gone_chunks(rows: DataFrame, cut: Callable[[bytes], list[bytes]] = chunks) -> DataFrame:
+    """(doc_id, rk, n): the chunks (or what else `cut` gives) that occurred before, of (doc_id, text, rk) rows; with a column `some`, of its numbers only."""
 
     def batch(rows: list[tuple], columns: slice = slice(5)) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), KINDS[columns], strict=True)], names=NAMES[columns])
@@ -91,9 +112,10 @@ def gone_chunks(rows: DataFrame) -> DataFrame:
 
         for b in batches:
             lost = []
-            for doc, text, rk in zip(b[0].to_pylist(), b[1].cast(pa.binary()).to_pylist(), b[2].to_pylist(), strict=True):
-                for n, chunk in enumerate(chunks(text)) if text is not None else ():
-                    if b"\n" in chunk:
+            some = [set(x) for x in b[3].to_pylist()] if len(b.columns) > 3 else [None] * len(b)
+            for doc, text, rk, only in zip(b[0].to_pylist(), b[1].cast(pa.binary()).to_pylist(), b[2].to_pylist(), some, strict=True):
+                for n, chunk in enumerate(cut(text)) if text is not None else ():
+                    if b"\n" in chunk and (only is None or n in only):
                         size = len(known)
                         gone = settle(known, chunk, (doc is None, doc or 0, rk, n))
                         held += len(chunk) + 250 if len(known) > size else 0
@@ -128,11 +150,105 @@ def gone_chunks(rows: DataFrame) -> DataFrame:
     return met.mapInArrow(globally, "doc_id long, rk long, n int")
 
 
+def met_again(rows: DataFrame) -> DataFrame:
+    """(doc_id, rk, n): the pairs of (doc_id, text, rk) rows whose hash occurs more than once, first ones included."""
+
+    def batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+        kinds = {"h": pa.int64(), "doc_id": pa.int64(), "rk": pa.int64(), "n": pa.int32(), "again": pa.bool_()}
+        return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, k in zip(zip(*rows, strict=True), names, strict=True)], names=names)
+
+    place = ["doc_id", "rk", "n"]
+
+    # a hash sends one row a task; again: null for a pair that is known to occur more than once, or else whether its task has it twice
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh64_intdigest
+
+        names = ["h", *place, "again"]
+        known: dict[int, tuple] = {}
+        twice: set[int] = set()
+
+        def forward() -> Iterator[pa.RecordBatch]:
+            rows = [(h - 2**63, *p, h in twice) for h, p in known.items()]
+            known.clear()
+            twice.clear()
+            for at in range(0, len(rows), 10_000):
+                yield batch(rows[at : at + 10_000], names)
+
+        for b in batches:
+            more = []
+            for doc, text, rk in zip(b[0].to_pylist(), b[1].cast(pa.binary()).to_pylist(), b[2].to_pylist(), strict=True):
+                for n, pair in enumerate(pairs(text)) if text is not None else ():
+                    h = xxh64_intdigest(pair)
+                    if known.setdefault(h, (doc, rk, n)) != (doc, rk, n):
+                        twice.add(h)
+                        more.append((rk, doc, rk, n, None))
+            if more:
+                yield batch(more, names)
+            if len(known) * 300 > KNOWN_BYTES:
+                yield from forward()
+        yield from forward()
+
+    def globally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, first = None, None  # the last hash, and its first row as long as it is alone
+        for b in batches:
+            out = []
+            for h, doc, rk, n, again in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if again is None:
+                    out.append((doc, rk, n))
+                elif h != now:
+                    now, first = h, None if again else (doc, rk, n)
+                    if again:
+                        out.append((doc, rk, n))
+                else:
+                    if first:
+                        out.append(first)
+                        first = None
+                    out.append((doc, rk, n))
+            if out:
+                yield batch(out, place)
+
+    met = rows.mapInArrow(local, "h long, doc_id long, rk long, n int, again boolean").repartition(partitions(rows), "h").sortWithinPartitions("h")
+    return met.mapInArrow(globally, "doc_id long, rk long, n int")
+
+
+def numbered(rows: DataFrame, found: DataFrame, name: str, how: str) -> DataFrame:
+    """(doc_id, text, rk, name): rows with their numbers n of found."""
+    sets = found.groupBy("doc_id", "rk").agg(F.collect_set("n").alias(name)).select(F.col("doc_id").alias("__id"), F.col("rk").alias("__rk"), name)
+    return rows.join(sets.hint("shuffle_hash"), (F.col("rk") == F.col("__rk")) & F.col("doc_id").eqNullSafe(F.col("__id")), how).select("doc_id", "text", "rk", name)
+
+
+def hashed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("rk", F.xxhash64("doc_id", "text"))
+
+
+def batch_of(out: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [[]] * 6, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)], names=[f.name for f in OUT])
+
+
+def dedup_runs(docs: DataFrame) -> DataFrame:
+    """doc_id, n_lines, n_chunks, removed_chunks, removed_lines and the kept text of every row; a chunk is a longest stretch of lines that stay, or that go."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for doc, text, again in zip(b[0].to_pylist(), b[1].cast(pa.binary()).to_pylist(), b[2].to_pylist(), strict=True):
+                if text is None:
+                    out.append((doc, 0, 0, 0, 0, None))
+                    continue
+                lines = text.split(b"\n")
+                lost = covered(lines, set(again or ()))
+                begins = [i for i in range(len(lines)) if i == 0 or (i in lost) != (i - 1 in lost)]
+                kept = b"\n".join(x for i, x in enumerate(lines) if i not in lost) if lost else text
+                out.append((doc, len(lines), len(begins), sum(i in lost for i in begins), len(lost), kept.decode()))
+            yield batch_of(out)
+
+    rows = hashed(docs)
+    gone = gone_chunks(numbered(rows, met_again(rows), "some", "inner"), pairs)
+    return numbered(rows, gone, "gone", "left").drop("rk").mapInArrow(run, OUT)
+
+
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_chunks, removed_chunks, removed_lines and the kept text of every row."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("rk", F.xxhash64("doc_id", "text"))
-    gone = gone_chunks(rows).groupBy("doc_id", "rk").agg(F.collect_set("n").alias("gone")).select(F.col("doc_id").alias("__id"), F.col("rk").alias("__rk"), "gone")
-    joined = rows.join(gone.hint("shuffle_hash"), (F.col("rk") == F.col("__rk")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left").select("doc_id", "text", "gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -146,9 +262,10 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
                 lines = [p.count(b"\n") + 1 for p in parts]
                 kept = b"\n".join(p for i, p in enumerate(parts) if i not in lost) if lost else text
                 out.append((doc, sum(lines), len(parts), len(lost), sum(lines[i] for i in lost), kept.decode()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [[]] * 6, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)], names=[f.name for f in OUT])
+            yield batch_of(out)
 
-    return joined.mapInArrow(run, OUT)
+    rows = hashed(docs)
+    return numbered(rows, gone_chunks(rows), "gone", "left").drop("rk").mapInArrow(run, OUT)
 
 
 OUT = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "n_lines", "n_chunks", "removed_chunks", "removed_lines")] + [T.StructField("text", T.StringType())])

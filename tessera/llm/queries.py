@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import table, unsigned_crc32
 from tessera.llm.decontamination import digest, matches
-from tessera.llm.line_dedup import dedup_lines
+from tessera.llm.line_dedup import dedup_runs
 from tessera.llm.mixing import cycle_quotas, mix, word_count
 from tessera.llm.sharding import rendezvous, shard_records
 from tessera.llm.simhash import near_duplicates
@@ -23,7 +23,7 @@ SHARDS = 40
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(table(spark, sf_dir, "documents"))
+    return dedup_runs(table(spark, sf_dir, "documents"))
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
