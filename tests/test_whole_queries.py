@@ -1,5 +1,7 @@
 """Queries over whole tables, against plain Python on small fixtures."""
 
+import hashlib
+
 from tessera.queries import QUERIES
 
 
@@ -16,3 +18,19 @@ def test_components_join_all_orders(spark, tmp_path):
                 group[k] = x
     got = {r["id"]: r["root"] for r in QUERIES["order_part_components"](spark, str(tmp_path)).collect()}
     assert got == {k: min(g) for k, g in group.items()}
+
+
+def test_flat_export_has_all_vacancies(spark, tmp_path):
+    frame = lambda name, rows, schema: spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    orders = [(i, 1 + i % 2, "1998-01-01", "O", "1-URGENT", 5.0) for i in range(1, 31)]
+    lines = [(i, 1000 * i + n, n) for i in range(1, 30) for n in range(1, 1 + i % 12)] + [(5, 7, 2)]
+    frame("orders", orders, "o_orderkey long, o_custkey long, o_orderdate string, o_orderstatus string, o_orderpriority string, o_totalprice double")
+    frame("customer", [(1, 1, "c1"), (2, 2, "c2")], "c_custkey long, c_nationkey long, c_name string")
+    frame("nation", [(1, "KENYA"), (2, "PERU")], "n_nationkey long, n_name string")
+    frame("lineitem", lines, "l_orderkey long, l_partkey long, l_linenumber int")
+    want = set()
+    for i, customer, *_ in orders:
+        skills = [p for _, p in sorted((n, p) for o, p, n in lines if o == i)][:8]
+        want.add(("v" + hashlib.sha1(str(i).encode()).hexdigest()[:10], None if i % 9 == 0 else {1: "Kenya", 2: "Peru"}[customer], "; ".join(map(str, skills)) or None))
+    got = [tuple(r) for r in QUERIES["flat_export"](spark, str(tmp_path)).select("id", "region_name", "skills").collect()]
+    assert len(got) == 30 and set(got) == want
