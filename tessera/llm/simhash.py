@@ -181,7 +181,7 @@ def probes(fps: DataFrame, index: list[tuple[list[int], int]], words64: int) ->
         for b in batches:
             for at in range(0, b.num_rows, 2048):
                 column = b[0].slice(at, 2048)
-                raw = np.unpackbits(np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, bits // 8), axis=1)
+                raw = np.unpackbits(np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)[:, : bits // 8], axis=1)
                 for k, (part, t) in enumerate(index):
                     # a bucket's number: the sum of the weights of the set bits, so that a flipped bit adds or takes its weight
                     own = raw[:, part].astype(np.uint64) @ weights[part] + np.uint64(mixed(np.array([k], np.uint64), 11)[0])
@@ -272,9 +272,132 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     return fps.join(classes, "fp").select(key, "fp", "component")
 
 
+def shingles(text: bytes, size: int) -> set[bytes]:
+    """The shingles that a fingerprint hashes; none of a text without words."""
+    words = [w for w in text.translate(FOLD).split(b" ") if w]
+    return {b" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+
+
+def alike(a: set[bytes], b: set[bytes], resemblance: float) -> bool:
+    both = len(a & b)
+    return both >= resemblance * (len(a) + len(b) - both) - 1e-9
+
+
+def close_pairs(fp: np.ndarray, distance: int, roots: list, failed: list[set], names: list[bytes]) -> list[tuple[int, int]]:
+    """Pairs within distance that would connect what roots leave apart, each tree's worth once; none that failed before."""
+    labels = np.unique(np.array([r.hex() for r in roots]), return_inverse=True)[1]
+    out = []
+    for i in range(len(fp)):
+        rest = np.flatnonzero(labels != labels[i])
+        rest = rest[rest > i]
+        for j in rest[close(fp[i], fp[rest], distance)]:
+            if labels[i] != labels[j] and names[j] not in failed[i]:
+                out.append((i, int(j)))
+                labels[labels == labels[j]] = labels[i]
+    return out
+
+
+def candidates(met: DataFrame, distance: int, words64: int) -> DataFrame:
+    """(k, a, b) of (k, node, root, failed) rows: all pairs within distance of small buckets (k null), and of large ones what connects them."""
+
+    def bucket(k: np.ndarray, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        fp = np.frombuffer(b"".join(r[0][: 8 * words64] for r in rows), np.uint64).reshape(-1, words64)
+        begins = np.concatenate(([0], np.flatnonzero(k[1:] != k[:-1]) + 1, [len(k)]))
+        sizes = np.diff(begins)
+        member = np.repeat(sizes, sizes)
+        rest = np.flatnonzero((member > 1) & (member <= SMALL))
+        out: set[tuple] = set()
+        for s in range(1, SMALL):
+            rest = rest[rest + s < len(k)]
+            rest = rest[k[rest] == k[rest + s]]
+            if not len(rest):
+                break
+            for x in rest[close(fp[rest], fp[rest + s], distance)].tolist():
+                out.add((None, *sorted((rows[x][0], rows[x + s][0]))))
+        for g in np.flatnonzero(sizes > SMALL):
+            part = rows[begins[g] : begins[g + 1]]
+            names = [r[0] for r in part]
+            for x, y in close_pairs(fp[begins[g] : begins[g + 1]], distance, [r[1] or r[0] for r in part], [set(r[2] or ()) for r in part], names):
+                out.add((int(k[begins[g]]), *sorted((names[x], names[y]))))
+        rows_ = [r for r in out if r[1] != r[2]]
+        if rows_:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows_, strict=True), (pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["k", "a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k, rows = np.zeros(0, np.int64), []
+        for batch in batches:
+            k = np.concatenate((k, batch[0].to_numpy()))
+            more = [c.to_pylist() for c in batch.columns[1:]]
+            rows += zip(*more, strict=True) if len(more) > 1 else ((x, None, None) for x in more[0])
+            last = int(np.searchsorted(k, k[-1])) if len(k) else 0
+            if last:
+                yield from bucket(k[:last], rows[:last])
+                k, rows = k[last:], rows[last:]
+        if len(k):
+            yield from bucket(k, rows)
+
+    return met.repartition(partitions(met), "k").sortWithinPartitions("k").mapInArrow(run, "k long, a binary, b binary")
+
+
+def near_copies(docs: DataFrame, key: str, text: str, size: int, words64: int, distance: int, parts: int, groupings: int, resemblance: float) -> DataFrame:
+    """(key, node, component): texts linked whose shingle sets have the resemblance; the index only proposes pairs.
+
+    A node is a distinct text: its fingerprint and its MD5. A large bucket proposes what connects it; where a proposed
+    pair fails, its bucket proposes others in the next round, until nothing in it is both close and untested.
+    """
+    import hashlib
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = [fingerprint(t or b"", size, words64) + hashlib.md5(t or b"").digest() for t in b[1].cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b[0], pa.array(out, pa.binary())], names=[key, "node"])
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok, last, known = [], None, set()
+            for name, x, y in zip(b[1].to_pylist(), b[3].cast(pa.binary()).to_pylist(), b[4].cast(pa.binary()).to_pylist(), strict=True):
+                if name != last:
+                    last, known = name, shingles(x, size)
+                ok.append(alike(known, shingles(y, size), resemblance))
+            yield pa.RecordBatch.from_arrays([b[0], b[1], b[2], pa.array(ok, pa.bool_())], names=["k", "a", "b", "ok"])
+
+    source = docs.select(key, text)
+    rows = materialize(source.mapInArrow(run, f"`{key}` {source.schema[key].dataType.simpleString()}, node binary"), "simhash")
+    distinct = materialize(rows.groupBy("node").agg(F.min(key).alias("least")), "simhash-distinct")
+    n, both = bit_counts(distinct.select(F.substring("node", 1, 8 * words64).alias("fp")), words64)
+    index = [(p, 0) for p in grouped_bits(n, both, parts)]
+    for seed in range(1, groupings):
+        order = np.random.default_rng(seed).permutation(64 * words64)
+        index += [(sorted(p.tolist()), 0) for p in np.array_split(order, parts)]
+    at = probes(distinct.select(F.col("node").alias("fp")), index, words64).withColumnRenamed("fp", "node")
+    proposed, tested = candidates(at, distance, words64), None
+    while True:
+        pairs = materialize(proposed.groupBy("a", "b").agg(F.collect_set("k").alias("k")).select("k", "a", "b"), "simhash-pairs")
+        needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(distinct, "node")
+        texts = source.join(needed.withColumnRenamed("least", key), key).groupBy("node").agg(F.first(F.coalesce(text, F.lit(""))).alias("t"))
+        texts = materialize(texts, "simhash-texts")
+        told = pairs.join(texts.select(F.col("node").alias("a"), F.col("t").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("t").alias("y")), "b").select("k", "a", "b", "x", "y")
+        told = materialize(told.mapInArrow(verify, "k array<long>, a binary, b binary, ok boolean"), "simhash-told")
+        tested = told if tested is None else materialize(tested.unionByName(told), "simhash-told")
+        roots = components(tested.filter("ok").select("a", "b"))
+        root = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+        apart = told.filter("not ok and size(k) > 0").join(root("a"), "a", "left").join(root("b"), "b", "left").filter(F.coalesce("a_root", "a") != F.coalesce("b_root", "b"))
+        open_ = materialize(apart.select(F.explode("k").alias("k")).distinct(), "simhash-open")
+        if open_.isEmpty():
+            break
+        lost = tested.filter("not ok")
+        lost = lost.select(F.col("a").alias("node"), "b").union(lost.select("b", "a")).groupBy("node").agg(F.collect_set("b").alias("failed"))
+        met = at.join(open_, "k", "left_semi").join(roots, "node", "left").join(lost, "node", "left").select("k", "node", "root", "failed")
+        proposed = candidates(met, distance, words64)
+    least = roots.join(distinct, "node").groupBy("root").agg(F.min("least").alias("component"))
+    moved = roots.join(least, "root").select("node", "component")
+    classes = distinct.join(moved, "node", "left").select("node", F.coalesce("component", "least").alias("component"))
+    return rows.join(classes, "node").select(key, "node", "component")
+
+
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """docs with one row (of the smallest key) of each component; columns as before."""
     tagged = docs.withColumn("__id", F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.xxhash64(text).alias("row")))
-    found = near_duplicates(tagged, "__id", text, **options)
+    found = (near_copies if "resemblance" in options else near_duplicates)(tagged, "__id", text, **options)
     kept = found.filter(F.col("component") == F.col("__id")).select("__id").distinct()
     return tagged.join(kept, "__id", "left_semi").dropDuplicates(["__id"]).select(*docs.columns)

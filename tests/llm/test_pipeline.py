@@ -1,7 +1,9 @@
 import random
 
+import numpy as np
+
 import corpus_pipeline
-from tessera.llm.simhash import keep_one
+from tessera.llm.simhash import close_pairs, keep_one, near_copies, shingles
 
 
 def test_near_copies_go_and_others_stay(spark):
@@ -59,3 +61,39 @@ def test_stages_and_run(spark, tmp_path):
     assert all(sorted(s) == list(range(len(s))) for s in shards.values())
     assert len(after["sharding"]) == len(after["mixing"])
     assert sorted(map(str, corpus_pipeline.run(spark, str(tmp_path)).collect())) == sorted(map(str, after["sharding"]))
+
+
+def test_links_are_resemblance(spark):
+    rnd = random.Random(11)
+    words = [f"w{i}" for i in range(3000)]
+    docs = []
+    for i in range(40):
+        t = [rnd.choice(words) for _ in range(204)]
+        docs.append((2 * i, " ".join(t)))
+        for at in range(10, 10 + 5 * (3 + i % 4), 5):  # 15 to 30 of 200 shingles differ
+            t[at] = f"new{at}"
+        docs.append((2 * i + 1, " ".join(t)))
+    core = [rnd.choice(words) for _ in range(300)]
+    for i in range(60):  # a large bucket: copies that differ in one word or in a tail
+        docs.append((100 + i, " ".join(core[: 300 - i] + [f"x{i}_{j}" for j in range(i)])))
+    sets = [shingles(t.encode(), 5) for _, t in docs]
+    group = list(range(len(docs)))
+    for i in range(len(docs)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 5 * both >= 4 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = group[i], group[j]
+                group = [a if g == b else g for g in group]
+    want = {docs[i][0]: min(docs[j][0] for j in range(len(docs)) if group[j] == group[i]) for i in range(len(docs))}
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: r["component"] for r in near_copies(frame, "doc_id", "text", **corpus_pipeline.NEAR).collect()}
+    assert got == want
+    assert 0 < sum(k != v for k, v in want.items() if k < 100) < 40  # some of the edited ones are below
+
+
+def test_failed_pairs_give_way():
+    fp = np.zeros((4, 8), np.uint64)
+    names = [b"a", b"b", b"c", b"d"]
+    assert close_pairs(fp, 3, names, [set()] * 4, names) == [(0, 1), (0, 2), (0, 3)]
+    failed = [{b"b", b"c", b"d"}, {b"a"}, {b"a"}, {b"a"}]
+    assert close_pairs(fp, 3, names, failed, names) == [(1, 2), (1, 3)]
