@@ -1,7 +1,9 @@
 """Queries over whole tables, against plain Python on small fixtures."""
 
 import hashlib
+import random
 
+from tessera.functions.similarity import token_set, token_sort
 from tessera.queries import QUERIES
 
 
@@ -34,3 +36,39 @@ def test_flat_export_has_all_vacancies(spark, tmp_path):
         want.add(("v" + hashlib.sha1(str(i).encode()).hexdigest()[:10], None if i % 9 == 0 else {1: "Kenya", 2: "Peru"}[customer], "; ".join(map(str, skills)) or None))
     got = [tuple(r) for r in QUERIES["flat_export"](spark, str(tmp_path)).select("id", "region_name", "skills").collect()]
     assert len(got) == 30 and set(got) == want
+
+
+def test_fuzzy_clusters_equal_brute_force(spark, tmp_path):
+    rnd = random.Random(7)
+    words = [f"word{i}" for i in range(300)]
+    rows = []
+    for _ in range(8):
+        head, more = rnd.sample(words, 45), rnd.sample(words, 40)
+        for k in range(4):  # the first 300 characters agree, the next 200 do not always
+            text = " ".join(head + (more if k < 2 else rnd.sample(words, 40)))
+            rows.append((len(rows) + 1, text, "en", 1001 + 5 * len(rows)))
+    rows += [(50 + k, "same four words title " + " ".join("abc"[k] * (5 + i % 7) for i in range(60)), "en", n) for k, n in ((0, 1003), (1, 2003), (2, 2008))]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    day = lambda d: None if d % 11 == 0 else d % 90
+
+    def match(x, y):
+        near = day(x[0]) is None or day(y[0]) is None or abs(day(x[0]) - day(y[0])) <= 30
+        if x[1] == y[1]:
+            return True
+        if x[2] != y[2] or x[3] % 5 != y[3] % 5 or not near:
+            return False
+        a, b = (" ".join(r[1].split(" ")[:4]) for r in (x, y))
+        if a == b and x[3] % 5 and x[3] % 1000 == y[3] % 1000:
+            return True
+        inside = set(a.split()) <= set(b.split()) or set(b.split()) <= set(a.split())
+        return (inside or token_sort(a, b) >= 93) and token_set(x[1][:500].strip(), y[1][:500].strip()) >= 85
+
+    group = {r[0]: r[0] for r in rows}
+    for x in rows:
+        for y in rows:
+            if x[0] < y[0] and match(x, y):
+                a, b = sorted((group[x[0]], group[y[0]]))
+                group = {k: a if v == b else v for k, v in group.items()}
+    got = {int(r["posting_id"]): int(r["root"]) for r in QUERIES["fuzzy_clusters"](spark, str(tmp_path)).collect()}
+    assert got == group
+    assert got[51] == 50 and got[52] == 52  # equal titles in one region, and in another
