@@ -3,7 +3,10 @@
 import hashlib
 import random
 
+from pyspark.sql import functions as F
+
 from tessera.functions.similarity import token_set, token_sort
+from tessera.operators import classify
 from tessera.queries import QUERIES
 
 
@@ -72,3 +75,13 @@ def test_fuzzy_clusters_equal_brute_force(spark, tmp_path):
     got = {int(r["posting_id"]): int(r["root"]) for r in QUERIES["fuzzy_clusters"](spark, str(tmp_path)).collect()}
     assert got == group
     assert got[51] == 50 and got[52] == 52  # equal titles in one region, and in another
+
+
+def test_classify_limits_are_the_references(spark):
+    s = classify.Settings()
+    text = "a" * 745 + " tail"
+    item = spark.createDataFrame([(text,)], "t string").select(classify.item({}, F.col("t"), s.description_chars).alias("i")).first()["i"]
+    assert "tail" in item
+    answer = {"ref": "j1", "unit": "2431", "second": None, "confidence": 0.9, "pii": False, "skills": [f"s{i}" for i in range(12)]}
+    got = classify.check_units(frozenset({"2431"}), s.max_skills)(["j1"], [answer])
+    assert "s9" in str(got) and "s10" not in str(got)
