@@ -9,7 +9,8 @@ Hashes are computed for many texts at once: a polynomial prefix hash over the by
 a weighted sum of five mixed word hashes a shingle's.
 
 Defined cases: null reads as empty; a text without words has the empty sketch, alike (1) to another empty one
-and unlike (0) any other; very long texts are hashed whole.
+and unlike (0) any other; very long texts are hashed whole; repeated rows have equal fingerprints; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import partitions
+from tessera.llm.ranges import even_cuts, how_many, number, place
 from tessera.llm.simhash import FOLD, mixed
 
 K, SIZE = 128, 5
@@ -145,24 +146,37 @@ def edited_likeness(docs: DataFrame, k: int = K, size: int = SIZE) -> DataFrame:
     """Fingerprints of (doc_id, text) rows and of their edited texts, whose last half comes from the next row.
 
     Rows are in the order of doc_id, null first, equal ids in the order of their texts; the last is followed by
-    the first. One exchange brings them into ranges of doc_id; the first row of each range also goes, as a
-    guard, to the end of the range before. So every row meets the next one in its own task.
+    the first. One exchange brings them into ranges of doc_id, as many as their bytes ask for; the first row of each
+    range also goes, as a guard, to the end of the range before. So every row meets the next one in its own task.
+    Rows of one id stand in one range. doc_id must be a number; other columns of docs are ignored.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    n_ranges = partitions(docs)
-    cuts = rows.agg(F.percentile_approx("doc_id", [i / n_ranges for i in range(1, n_ranges)] or [0.5], 100 * n_ranges)).first()[0] or []
-    cuts = sorted(set(cuts))
-    number = F.when(F.col("doc_id").isNull(), 0).otherwise(sum((F.when(F.col("doc_id") >= c, 1).otherwise(0) for c in cuts), F.lit(1)))
-    heads = sorted((r["range"], r["head"]) for r in rows.groupBy(number.alias("range")).agg(F.min("doc_id").alias("head")).collect())
-    before = {head: heads[i - 1][0] for i, (_, head) in enumerate(heads)}
-    null_guard = before.pop(None, None)
-    guard = F.element_at(F.create_map(*(F.lit(x) for pair in before.items() for x in pair)), F.col("doc_id")) if before else F.lit(None).cast("int")
-    guard = F.when(F.col("doc_id").isNull(), F.lit(null_guard).cast("int")).otherwise(guard)
-    dealt = rows.withColumns({"range": number.cast("int"), "guard": guard})
+    wanted = how_many(rows, "text")
+    cuts = even_cuts(rows, "doc_id", wanted)
+    in_range = number(cuts)
+    n_ranges = len(cuts) + 2
+    # two numbers a range
+    heads = sorted((r["range"], r["head"]) for r in rows.groupBy(in_range(F.col("doc_id")).alias("range")).agg(F.min("doc_id").alias("head")).collect())
+    firsts = np.array([head for _, head in heads if head is not None], np.int64)
+    before = np.array([heads[i - 1][0] for i, (_, head) in enumerate(heads) if head is not None], np.int32)
+    before_null = heads[-1][0] if heads and heads[0][1] is None else None
+
+    def guarded(x: pa.Array) -> pa.Array:
+        """The range to whose end the first row of a range goes too; null for other rows."""
+        none = x.is_null().to_numpy(zero_copy_only=False)
+        ids = x.fill_null(0).to_numpy(zero_copy_only=False)
+        if not len(firsts):
+            return pa.array([before_null] * len(ids), pa.int32())
+        at = np.minimum(np.searchsorted(firsts, ids), len(firsts) - 1)
+        out = np.where(none, -1 if before_null is None else before_null, before[at])
+        return pa.array(out.astype(np.int32), mask=np.where(none, before_null is None, firsts[at] != ids))
+
+    dealt = rows.withColumns({"range": in_range(F.col("doc_id")), "guard": F.arrow_udf(guarded, "int")(F.col("doc_id"))})
     here = F.struct(F.col("range"), F.lit(False).alias("is_guard"))
     there = F.struct(F.col("guard").alias("range"), F.lit(True).alias("is_guard"))
     dealt = dealt.select("doc_id", "text", F.explode(F.when(F.col("guard").isNull(), F.array(here)).otherwise(F.array(here, there))).alias("at")).select("at.range", "at.is_guard", "doc_id", "text")
-    ordered = dealt.repartition(n_ranges, "range").sortWithinPartitions("range", "is_guard", F.col("doc_id").asc_nulls_first(), "text")
+    ordered = dealt.withColumn("place", place(spark, n_ranges)(F.col("range"))).repartition(n_ranges, "place").select("range", "is_guard", "doc_id", "text").sortWithinPartitions("range", "is_guard", F.col("doc_id").asc_nulls_first(), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[tuple] = []

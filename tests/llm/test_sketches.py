@@ -67,3 +67,29 @@ def test_one_row_and_none(spark):
     assert [(r["n_chars"], r["near_next"]) for r in edited_likeness(docs).collect()] == [(18, 1.0)]
     assert edited_likeness(docs.limit(0)).count() == 0
     assert edited_likeness(spark.createDataFrame([(None, "a")], "doc_id long, text string")).count() == 1
+
+
+def test_any_number_of_shuffle_partitions(spark):
+    docs = spark.createDataFrame([(i, f"w{i} " * (i % 7 * 300)) for i in range(5000)], "doc_id long, text string")
+    want = sorted(map(str, edited_likeness(docs).collect()))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (1, 1000, 4000):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            assert sorted(map(str, edited_likeness(docs).collect())) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_ranges_are_even_and_apart(spark, monkeypatch):
+    from tessera.llm import ranges
+
+    monkeypatch.setattr(ranges, "RANGE_BYTES", 10_000)
+    docs = spark.createDataFrame([(i * i, "x" * 100) for i in range(60_000)], "doc_id long, text string")
+    n = ranges.how_many(docs, "text")
+    cuts = ranges.even_cuts(docs, "doc_id", n)
+    assert 0.9 * 600 <= len(cuts) + 1 <= 1.1 * 600
+    dealt = docs.withColumn("range", ranges.number(cuts)(docs["doc_id"])).withColumn("place", ranges.place(spark, len(cuts) + 2)(docs["doc_id"] * 0 + 1))
+    sizes = [r["count"] for r in dealt.groupBy("range").count().collect()]
+    assert max(sizes) < 3 * 100
+    assert len({(r["p"]) for r in spark.createDataFrame([(x,) for x in ranges.places(spark, 700)], "x int").selectExpr("pmod(hash(x), 700) p").collect()}) == 700
