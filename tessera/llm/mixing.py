@@ -14,7 +14,8 @@ document left out.
 
 Defined cases: null text has no words; a null source is a source of its own, last in order; documents without
 words are taken once if any of their pattern's words are; repeated rows are separate documents with the same
-seeded position; an empty table gives an empty result.
+seeded position, of which each counts; very long texts count whole; ties in position go by size; extra columns may
+have any names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,7 +33,6 @@ from tessera.llm.common import materialize
 
 SEED = 2
 ROWS_PER_RANGE = 4096
-MAX_RANGE_BITS = 16
 #: Membership patterns that the driver's flow network may have; a proven bound for what is collected.
 MAX_PATTERNS = 100_000
 
@@ -143,57 +143,59 @@ def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pattern, room = None, 0
     for b in batches:
         more = []
-        for p, r, size in zip(b["__p"].to_pylist(), b["__room"].to_pylist(), b["__size"].to_pylist(), strict=True):
+        for p, r, size in zip(b["p"].to_pylist(), b["room"].to_pylist(), b["size"].to_pylist(), strict=True):
             if p != pattern:
                 pattern, room = p, r
             take = size <= room
             room -= size if take else 0
             more.append(int(take))
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(more, pa.int64())], names=[*b.schema.names, "__more"])
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(more, pa.int64())], names=[*b.schema.names, "more"])
 
 
-def mix(docs: DataFrame, key: str, size: Column, sources: Column, quotas: Callable[[list[tuple[str | None, int]]], dict], repetitions: int = 2, seed: int = SEED) -> DataFrame:
-    """How often each document is taken: (key, __size, __sources, copies, taken, and for one-source documents source_size, target).
+def mix(docs: DataFrame, key: Column, size: Column, sources: Column, quotas: Callable[[list[tuple[str | None, int]]], dict], repetitions: int = 2, seed: int = SEED) -> DataFrame:
+    """How often each row is taken: (row, size, sources, copies, taken, and for rows of one source source_size, target).
 
-    sources: array of the document's sources. quotas: from [(source, words)] in code-point order, null last, to
-    {source: target words}. No document is taken more than `repetitions` times.
+    row: all columns of docs, nested, so that their names cannot clash. key: what the seeded position depends on.
+    sources: array of the row's sources. quotas: from [(source, words)] in code-point order, null last, to
+    {source: target words}. No row is taken more than `repetitions` times.
     """
     spark = docs.sparkSession
-    rows = materialize(docs.select(F.col(key), size.alias("__size"), F.array_sort(F.array_distinct(F.coalesce(sources, F.array(F.lit(None).cast("string"))))).alias("__sources"), F.xxhash64(F.col(key).cast("string"), F.lit(seed)).alias("__h")), "mix-sizes")
-    by_pattern = rows.groupBy("__sources").agg(F.sum("__size").alias("words"), F.count(F.lit(1)).alias("n")).limit(MAX_PATTERNS + 1).collect()
+    of = F.array_sort(F.array_distinct(F.coalesce(sources, F.array(F.lit(None).cast("string")))))
+    rows = materialize(docs.select(F.struct("*").alias("row"), size.alias("size"), of.alias("sources"), F.xxhash64(key, F.lit(seed)).alias("h")), "mix-sizes")
+    by_pattern = rows.groupBy("sources").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")).limit(MAX_PATTERNS + 1).collect()
     if len(by_pattern) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns; map sources to fewer groups first")
     order = lambda s: (s is None, (s or "").encode())
-    by_pattern = sorted(by_pattern, key=lambda r: [order(s) for s in r["__sources"]])
+    by_pattern = sorted(by_pattern, key=lambda r: [order(s) for s in r["sources"]])
     words: dict = {}
     for r in by_pattern:
-        for s in r["__sources"]:
+        for s in r["sources"]:
             words[s] = words.get(s, 0) + r["words"]
     ranked = sorted(words.items(), key=lambda x: order(x[0]))
     asked = quotas(ranked)
-    flow = min_cost_flow([(frozenset(r["__sources"]), r["words"]) for r in by_pattern], {s: round(t) for s, t in asked.items()}, repetitions)
+    flow = min_cost_flow([(frozenset(r["sources"]), r["words"]) for r in by_pattern], {s: round(t) for s, t in asked.items()}, repetitions)
     plan = []
     for k, (r, f) in enumerate(zip(by_pattern, flow, strict=True)):
         whole = min(repetitions, f // r["words"]) if r["words"] else 1
-        one = r["__sources"][0] if len(r["__sources"]) == 1 else None
-        single = len(r["__sources"]) == 1
-        plan.append((k, r["__sources"], int(whole), int(f - whole * r["words"]) if r["words"] else 0, int(words[one]) if single else None, float(asked[one]) if single else None))
+        one = r["sources"][0] if len(r["sources"]) == 1 else None
+        single = len(r["sources"]) == 1
+        plan.append((k, r["sources"], int(whole), int(f - whole * r["words"]) if r["words"] else 0, int(words[one]) if single else None, float(asked[one]) if single else None))
     n = sum(r["n"] for r in by_pattern)
-    bits = min(MAX_RANGE_BITS, max(0, math.ceil(math.log2(max(1, n / ROWS_PER_RANGE)))))
-    plans = F.broadcast(spark.createDataFrame(plan, "__p int, __plan array<string>, __whole long, __part long, source_size long, target double"))
-    placed = rows.join(plans, F.col("__sources").eqNullSafe(F.col("__plan"))).drop("__plan").withColumn("__range", F.shiftright("__h", 64 - bits) if bits else F.lit(0).cast("long"))
-    sums = placed.groupBy("__p", "__range").agg(F.sum("__size").alias("__sum"), F.first("__part").alias("__cut"))
-    before = F.coalesce(F.sum("__sum").over(Window.partitionBy("__p").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bits = max(0, math.ceil(math.log2(max(1, n / ROWS_PER_RANGE))))
+    plans = F.broadcast(spark.createDataFrame(plan, "p int, plan array<string>, whole long, part long, source_size long, target double"))
+    placed = rows.join(plans, F.col("sources").eqNullSafe(F.col("plan"))).drop("plan").withColumn("range", F.shiftright("h", 64 - bits) if bits else F.lit(0).cast("long"))
+    sums = placed.groupBy("p", "range").agg(F.sum("size").alias("sum"), F.first("part").alias("cut"))
+    before = F.coalesce(F.sum("sum").over(Window.partitionBy("p").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     # the range in which the cut of a pattern lies; one row a pattern, so as bounded as the plan
-    cuts = sums.withColumn("__before", before).filter((F.col("__before") <= F.col("__cut")) & (F.col("__before") + F.col("__sum") > F.col("__cut"))).select(F.col("__p").alias("__cp"), F.col("__range").alias("__at"), (F.col("__cut") - F.col("__before")).alias("__room"))
-    cuts = spark.createDataFrame(cuts.collect(), "__cp int, __at long, __room long")
-    cut = materialize(placed.join(F.broadcast(cuts), F.col("__p") == F.col("__cp"), "left").drop("__cp"), "mix-placed")
-    clear = cut.filter(F.col("__at").isNull() | (F.col("__range") != F.col("__at"))).withColumn("__more", F.when(F.col("__range") < F.col("__at"), 1).otherwise(0).cast("long"))
-    edge = cut.filter(F.col("__range") == F.col("__at")).repartition("__p").sortWithinPartitions("__p", "__h", key, "__size")
-    fields = T.StructType([*edge.schema.fields, T.StructField("__more", T.LongType())])
+    cuts = sums.withColumn("before", before).filter((F.col("before") <= F.col("cut")) & (F.col("before") + F.col("sum") > F.col("cut"))).select(F.col("p").alias("cp"), F.col("range").alias("at"), (F.col("cut") - F.col("before")).alias("room"))
+    cuts = spark.createDataFrame(cuts.collect(), "cp int, at long, room long")
+    cut = placed.join(F.broadcast(cuts), F.col("p") == F.col("cp"), "left").drop("cp")
+    clear = cut.filter(F.col("at").isNull() | (F.col("range") != F.col("at"))).withColumn("more", F.when(F.col("range") < F.col("at"), 1).otherwise(0).cast("long"))
+    edge = cut.filter(F.col("range") == F.col("at")).repartition("p").sortWithinPartitions("p", "h", "size")
+    fields = T.StructType([*edge.schema.fields, T.StructField("more", T.LongType())])
     chosen = clear.unionByName(edge.mapInArrow(fill, fields))
-    copies = F.least(F.lit(repetitions), F.col("__whole") + F.col("__more"))
-    return chosen.select(key, "__size", "__sources", copies.cast("long").alias("copies"), (copies * F.col("__size")).cast("long").alias("taken"), "source_size", "target")
+    copies = F.least(F.lit(repetitions), F.col("whole") + F.col("more"))
+    return chosen.select("row", "size", "sources", copies.cast("long").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"), "source_size", "target")
 
 
 def cycle_quotas(weights: Sequence[float], share: float, cap: float) -> Callable[[list[tuple[str | None, int]]], dict]:
@@ -207,9 +209,10 @@ def cycle_quotas(weights: Sequence[float], share: float, cap: float) -> Callable
 
 
 def mix_documents(docs: DataFrame, source: str = "source", text: str = "text", key: str = "doc_id", weights: Sequence[float] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, seed: int = SEED) -> DataFrame:
-    """The mixed corpus itself: the rows of docs, each as often as it is taken (columns as before)."""
-    tagged = docs.withColumn("__row", F.xxhash64(text, source))
-    taken = mix(tagged.withColumn("__id", F.struct(F.col(key), F.col("__row"))), "__id", word_count(F.col(text)), F.array(F.col(source)), cycle_quotas(weights, share, cap), math.ceil(cap), seed)
-    copies = taken.groupBy("__id").agg(F.min("copies").alias("__copies"))
-    joined = tagged.join(copies, F.col(key).eqNullSafe(F.col("__id")[key]) & F.col("__row").eqNullSafe(F.col("__id")["__row"]))
-    return joined.filter("__copies > 0").withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*docs.columns)
+    """The mixed corpus itself: the rows of docs, each as often as it is taken (columns as before).
+
+    Every row is decided on its own, equal rows too; its position follows from key, text and source.
+    """
+    position = F.xxhash64(F.col(key).cast("string"), F.col(text), F.col(source))
+    out = mix(docs, position, word_count(F.col(text)), F.array(F.col(source)), cycle_quotas(weights, share, cap), math.ceil(cap), seed)
+    return out.filter("copies > 0").withColumn("n", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")

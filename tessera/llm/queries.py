@@ -11,7 +11,7 @@ from tessera.llm.common import table, unsigned_crc32
 from tessera.llm.decontamination import digest, matches
 from tessera.llm.line_dedup import dedup_runs
 from tessera.llm.mixing import cycle_quotas, mix, word_count
-from tessera.llm.sharding import rendezvous, shard_records
+from tessera.llm.sharding import shard_records
 from tessera.llm.simhash import near_duplicates
 from tessera.llm.sketches import edited_likeness
 from tessera.llm.suffix_dedup import digest as repeats_digest
@@ -28,8 +28,9 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    out = mix(docs, "doc_id", word_count(F.col("text")), F.array("source"), cycle_quotas((5, 2, 1), 1.5, 2.0))
-    return out.select("doc_id", F.col("__size").alias("size"), "source_size", "target", "taken")
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    out = mix(sized, F.col("doc_id").cast("string"), F.col("size"), F.array("source"), cycle_quotas((5, 2, 1), 1.5, 2.0))
+    return out.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,8 +53,8 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 16
     rows = docs.select("doc_id", size.alias("size"), unsigned_crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.lit("key").alias("law"))
-    out = shard_records(rows, "doc_id", [1.0] * SHARDS)
-    return out.withColumn("grown_shard", rendezvous(F.col("doc_id"), [1.0] * (SHARDS + 1))).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+    out = shard_records(rows, "doc_id", [1.0] * SHARDS, grown="grown_shard")
+    return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,8 +8,9 @@ Slots number a shard's rows without gaps. Rows of a shard are ordered by a hash
 ranges; the counts of the ranges give each range its first slot, and a window numbers rows only inside a range,
 so that no task ever sorts a whole shard.
 
-Defined cases: a null key is a key like any other; repeated keys go to one shard and get slots of their own; an
-empty table gives an empty result; input columns named like an output column are replaced.
+Defined cases: a null key is a key like any other; repeated keys go to one shard and get slots of their own, in the
+order of their other columns; null, empty and very long texts are columns like any other; an empty table gives an
+empty result; input columns named like an output column are replaced, all other names are free.
 """
 
 from __future__ import annotations
@@ -22,12 +23,10 @@ from pyspark.sql import functions as F
 
 SEED = 6
 ROWS_PER_RANGE = 20_000
-#: Ranges a shard is cut into at most; the table of range counts has that many rows a shard, of three numbers.
-MAX_RANGE_BITS = 14
 
 
-def rendezvous(key: Column, weights: Sequence[float], seed: int = SEED) -> Column:
-    """Shard number (from 0) for a key under the given shard weights."""
+def best(key: Column, weights: Sequence[float], first: int = 0, seed: int = SEED) -> Column:
+    """(score, shard) of the winner among the shards `first` and up, whose weights are given."""
     if not weights or min(weights) <= 0:
         raise ValueError("weights must be positive")
     text = key.cast("string")
@@ -36,24 +35,35 @@ def rendezvous(key: Column, weights: Sequence[float], seed: int = SEED) -> Colum
         u = (F.shiftrightunsigned(F.xxhash64(text, F.lit(f"{seed}:{shard}")), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
         return F.struct((F.lit(float(weight)) / -F.ln(u)).alias("score"), F.lit(shard).alias("shard"))
 
-    if len(weights) == 1:
-        return F.lit(0)
-    return F.greatest(*(score(i, w) for i, w in enumerate(weights)))["shard"]
+    scores = [score(first + i, w) for i, w in enumerate(weights)]
+    return F.greatest(*scores) if len(scores) > 1 else scores[0]
+
+
+def rendezvous(key: Column, weights: Sequence[float], seed: int = SEED) -> Column:
+    """Shard number (from 0) for a key under the given shard weights."""
+    return best(key, weights, 0, seed)["shard"]
+
 
+def shard_records(docs: DataFrame, key: str, weights: Sequence[float], shard: str = "shard", slot: str = "slot", grown: str | None = None, seed: int = SEED) -> DataFrame:
+    """All rows and columns of docs with their shard and their slot in it (from 0, without gaps).
 
-def shard_records(docs: DataFrame, key: str, weights: Sequence[float], shard: str = "shard", slot: str = "slot", seed: int = SEED) -> DataFrame:
-    """All rows and columns of docs with their shard and their slot in it (from 0, without gaps)."""
+    grown: name of a column for the shard that one more shard, of the last one's weight, would give; the winner so
+    far only meets the new shard's score.
+    """
     n = docs.select(key).count()
-    bits = min(MAX_RANGE_BITS, max(0, math.ceil(math.log2(max(1, n / len(weights) / ROWS_PER_RANGE)))))
-    text = F.col(key).cast("string")
-    h = F.xxhash64(text, F.lit(f"{seed}:slot"))
-    placed = docs.drop(shard, slot).withColumns({shard: rendezvous(F.col(key), weights, seed), "__h": h, "__range": F.shiftright(h, 64 - bits) if bits else F.lit(0).cast("long")})
-    counts = docs.select(rendezvous(F.col(key), weights, seed).alias("__s"), (F.shiftright(h, 64 - bits) if bits else F.lit(0).cast("long")).alias("__r")).groupBy("__s", "__r").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy("__s").orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
-    first = counts.select("__s", "__r", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__first"))
+    bits = max(0, math.ceil(math.log2(max(1, n / len(weights) / ROWS_PER_RANGE))))
+    kept = docs.drop(shard, slot, *([grown] if grown else []))
+    h = F.xxhash64(F.col(key).cast("string"), F.lit(f"{seed}:slot"))
+    range_ = F.shiftright(h, 64 - bits) if bits else F.lit(0).cast("long")
+    won = best(F.col(key), weights, 0, seed)
+    # the columns of docs are nested meanwhile, so that their names cannot clash
+    placed = kept.select(F.struct("*").alias("row"), won.alias("won"), best(F.col(key), [weights[-1]], len(weights), seed).alias("new"), h.alias("h"), range_.alias("range")).select("row", F.col("won.shard").alias("s"), *([F.greatest("won", "new")["shard"].alias("grown")] if grown else []), "h", "range")
+    counts = docs.select(won["shard"].alias("s"), range_.alias("range")).groupBy("s", "range").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("s").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    first = counts.select("s", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     if (len(weights) << bits) <= 100_000:
         first = F.broadcast(first)
-    tie = [c for c, kind in placed.dtypes if kind in ("string", "bigint", "int", "double", "float", "boolean", "date", "timestamp") and c not in (shard, "__h", "__range", key)]
-    inside = Window.partitionBy(shard, "__range").orderBy("__h", key, *sorted(tie))
-    out = placed.join(first, (F.col(shard) == F.col("__s")) & (F.col("__range") == F.col("__r")))
-    return out.withColumn(slot, F.col("__first") + F.row_number().over(inside) - 1).drop("__h", "__range", "__s", "__r", "__first")
+    tie = [c for c, kind in kept.dtypes if kind in ("string", "bigint", "int", "double", "float", "boolean", "date", "timestamp") and c != key]
+    inside = Window.partitionBy("s", "range").orderBy("h", *(F.col("row")[c] for c in (key, *sorted(tie))))
+    out = placed.join(first, ["s", "range"])
+    return out.withColumn("slot", F.col("first") + F.row_number().over(inside) - 1).select("row.*", F.col("s").alias(shard), F.col("slot").alias(slot), *([F.col("grown").alias(grown)] if grown else []))

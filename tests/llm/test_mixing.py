@@ -78,8 +78,8 @@ def test_query_meets_its_targets(spark, tmp_path):
 def test_overlapping_sources(spark):
     rows = [(i, 10, ["a"] if i < 20 else ["a", "b"] if i < 40 else ["b"]) for i in range(60)]
     df = spark.createDataFrame(rows, "doc_id long, words long, of array<string>")
-    out = mix(df, "doc_id", F.col("words"), F.col("of"), lambda ranked: {"a": 150.0, "b": 350.0}).collect()
-    taken = {k: sum(r["taken"] for r in out if r["doc_id"] // 20 == k) for k in range(3)}
+    out = mix(df, F.col("doc_id"), F.col("words"), F.col("of"), lambda ranked: {"a": 150.0, "b": 350.0}).collect()
+    taken = {k: sum(r["taken"] for r in out if r["row"]["doc_id"] // 20 == k) for k in range(3)}
     assert sum(taken.values()) == 500 and max(r["copies"] for r in out) == 1
 
 
@@ -88,4 +88,49 @@ def test_documents_and_empty_table(spark):
     out = mix_documents(docs)
     assert out.columns == docs.columns and out.count() > 60
     assert mix_documents(docs.limit(0)).count() == 0
-    assert mix(docs.limit(0), "doc_id", word_count(F.col("text")), F.array("source"), cycle_quotas((1,), 1, 2)).count() == 0
+    assert mix(docs.limit(0), F.col("doc_id"), word_count(F.col("text")), F.array("source"), cycle_quotas((1,), 1, 2)).count() == 0
+
+
+def test_equal_rows_and_clashing_names(spark):
+    """A source of equal rows meets its target, and every row is accounted for."""
+    rows = [(i, "w " * 40, "a") for i in range(2000)] + [(10_000 + i, "w " * 40, "b") for i in range(2000)] + [(-1, "w w w w", "c")] * 20_000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    clash = docs.selectExpr("doc_id", "text", "source", "1 row", "2 size", "3 h", "4 p", "5 `range`", "6 n", "7 copies", "8 __id", "9 `a.b`")
+    out = mix_documents(clash)
+    assert out.columns == clash.columns
+    words = {r["source"]: r["n"] for r in out.groupBy("source").agg(F.sum(word_count(F.col("text"))).alias("n")).collect()}
+    assert 159_960 <= words["a"] <= 160_000 and 133_293 <= words["b"] <= 133_333 and 66_663 <= words["c"] <= 66_667
+    copies = out.filter("source <> 'c'").groupBy("doc_id").count().agg(F.max("count")).first()[0]
+    assert copies == 2 and out.filter("size <> 2 or n <> 6").count() == 0
+
+
+def brute_choice(rows, whole, part, repetitions=2):
+    """Greedy seeded prefix, by sorting a pattern whole; the rows are (position, size)."""
+    more, room = [], part
+    for _, size in sorted(rows):
+        more.append(size <= room and room > 0)
+        room -= size if more[-1] else 0
+    return sum(size * (min(repetitions, whole + m)) for (_, size), m in zip(sorted(rows), more))
+
+
+def test_choice_against_sorting_all(spark):
+    """With one range the choice is the greedy prefix; with many it stays as close to the quota."""
+    from tessera.llm import mixing
+
+    rnd = random.Random(4)
+    rows = [(i, rnd.randint(1, 50)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, words long")
+    total = sum(w for _, w in rows)
+    for share in (0.3, 1.0, 1.7):
+        quota = round(share * total)
+        whole, part = divmod(quota, total)
+        h = {r["doc_id"]: r["h"] for r in df.select("doc_id", F.xxhash64("doc_id", F.lit(mixing.SEED)).alias("h")).collect()}
+        want = brute_choice([(h[i], w) for i, w in rows], whole, part)
+        got = mix(df, F.col("doc_id"), F.col("words"), F.array(F.lit("s")), lambda _: {"s": float(quota)}).agg(F.sum("taken")).first()[0]
+        assert got == want and quota - 50 <= got <= quota
+        old, mixing.ROWS_PER_RANGE = mixing.ROWS_PER_RANGE, 100
+        try:
+            near = mix(df, F.col("doc_id"), F.col("words"), F.array(F.lit("s")), lambda _: {"s": float(quota)}).agg(F.sum("taken")).first()[0]
+        finally:
+            mixing.ROWS_PER_RANGE = old
+        assert quota - 50 <= near <= quota

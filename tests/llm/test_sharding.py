@@ -50,3 +50,33 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     out = shard_records(df, "doc_id", [1.0] * 3)
     assert out.count() == 0 and out.columns == ["doc_id", "text", "shard", "slot"]
+
+
+def test_free_names(spark):
+    df = spark.createDataFrame([(i, f"t{i}") for i in range(200)], "doc_id long, text string").selectExpr("doc_id", "text", "1 __s", "2 __r", "3 __first", "4 __h", "5 __range", "6 s", "7 `row`", "8 `range`", "9 first", "0 h", "1 `a.b`")
+    out = shard_records(df, "doc_id", [1.0] * 4, grown="more")
+    assert out.columns == [*df.columns, "shard", "slot", "more"] and out.filter("__s <> 1 or h <> 0 or first <> 9").count() == 0
+
+
+def test_against_plain_python(spark):
+    """Shards recomputed from the hash's definition, with and without one more shard."""
+    import math
+
+    import xxhash
+
+    def score(text, shard, weight, seed=6):
+        """XXH64 chained as Spark does it: the first argument's hash seeds the second's."""
+        h = 42
+        for part in (text, f"{seed}:{shard}"):
+            if part is not None:
+                h = xxhash.xxh64_intdigest(part.encode(), h)
+        return weight / -math.log(((h >> 11) + 0.5) / 2**53)
+
+    weights = [1.0, 2.0, 0.5, 3.0]
+    keys = [*range(300), -5, None]
+    df = spark.createDataFrame([(k,) for k in keys], "doc_id long")
+    got = {r["doc_id"]: (r["shard"], r["more"]) for r in shard_records(df, "doc_id", weights, grown="more").collect()}
+    for k in keys:
+        text = None if k is None else str(k)
+        scores = [score(text, i, w) for i, w in enumerate([*weights, weights[-1]])]
+        assert got[k] == (max(range(4), key=scores.__getitem__), max(range(5), key=scores.__getitem__))
