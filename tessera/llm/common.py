@@ -26,12 +26,34 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet below the shared folder and read it back: the lineage ends there and a lost executor costs nothing that was written."""
+    """Write df as Parquet below the shared folder and read it back: the lineage ends there and a lost executor costs nothing that was written.
+
+    The job's shuffle files go when it is over, as nothing reads them again.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tessera/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete tables of `materialize` that nothing reads any more."""
+    for df in tables:
+        if path := getattr(df, "__dict__", {}).get("written_at"):
+            jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

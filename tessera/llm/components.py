@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize
+from tessera.llm.common import discard, materialize
 
 MAX_ROUNDS = 60
 
@@ -15,7 +15,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Each round hangs every node's larger neighbours on its smallest neighbour, then its smaller ones; both are a
     combining minimum and an equi-join, whose large keys adaptive execution splits. Each round is a table of its
-    own in the shared folder, so no lineage grows. The rounds end when an order-free checksum stays the same.
+    own in the shared folder, so no lineage grows; the round before's is deleted. The rounds end when an order-free checksum stays the same.
     """
     u, v = F.col(a), F.col(b)
     now = materialize(edges.filter(u != v).select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).distinct(), "edges")
@@ -32,5 +32,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.when(F.col("v") != F.col("m"), F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v"))
         small = small.unionByName(least.select("u", F.col("m").alias("v"))).filter("u != v").distinct()
-        now = materialize(small, "edges")
+        last, now = now, materialize(small, "edges")
+        discard(last, large)
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")

@@ -7,12 +7,10 @@ Fingerprints of more than 64 bits mix each hash again for every further 64 bits.
 Search: the bits are grouped into m partitions, correlated bits together, from the co-occurrence of the bits in
 all fingerprints. Thresholds t_i of the partitions with sum(t_i + 1) = distance + 1 find every pair within
 `distance` bits: some partition must differ in at most t_i bits. Dynamic programming chooses the t_i, which may
-be unequal or -1 (unused), for the least estimated probe and candidate cost; the cost also chooses m. Each
+be unequal or -1 (unused), for the least estimated probe and candidate cost; the cost also chooses m. Candidates
+are estimated from pairs of the fingerprints themselves, as correlated bits meet more often than independent ones. Each
 distinct fingerprint goes to its own value and to the values up to t_i bits away in each partition; fingerprints
 that meet are verified. Within a bucket only a spanning forest of the links is kept, never all pairs.
-With `parts` set, the index takes that many partitions with t_i = 0 and verifies pairs up to `distance`, which
-may then be more than the parts can warrant: pairs within parts - 1 bits are all found, others likely.
-
 Components run over distinct fingerprints, so that a group of equal fingerprints is one node however large.
 
 Defined cases: null reads as empty; texts without words have fingerprint zero and link like any other; repeated
@@ -23,7 +21,7 @@ the component has no other.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -33,20 +31,12 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import materialize, partitions
 from tessera.llm.components import components
+from tessera.llm.hashing import FOLD, mixed
 
-FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
 #: Relative costs of a row that is dealt out and of a pair that is compared.
 ROW_COST, PAIR_COST = 1.0, 0.005
 
 
-def mixed(h: np.ndarray, salt: int) -> np.ndarray:
-    """A bijective mix of 64-bit hashes."""
-    h = h + np.uint64((salt * 0x9E3779B97F4A7C15) % 2**64)
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
 def fingerprint(text: bytes, size: int, words64: int = 1) -> bytes:
     """Big-endian fingerprint of 8 * words64 bytes."""
     from xxhash import xxh64_intdigest
@@ -61,14 +51,20 @@ def fingerprint(text: bytes, size: int, words64: int = 1) -> bytes:
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = np.concatenate(([0], ends[:-1]))[:n].tolist()
     ends = (ends[min(size, len(words)) - 1 :] - 1).tolist()
-    h = np.fromiter((xxh64_intdigest(joined[a:b], 42) for a, b in zip(starts, ends, strict=True)), np.uint64, n)
+    return majority(np.fromiter((xxh64_intdigest(joined[a:b], 42) for a, b in zip(starts, ends, strict=True)), np.uint64, n), words64)
+
+
+def majority(h: np.ndarray, words64: int) -> bytes:
+    """The bits that are in over half the hashes; each further 64 bits from the hashes mixed again."""
     out = []
     for k in range(words64):
         g = mixed(h, k) if k else h
         ones = np.zeros(64, np.int64)
-        for at in range(0, n, 8192):
-            ones += np.unpackbits(g[at : at + 8192].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-        out.append(np.packbits(2 * ones > n).tobytes())
+        for at in range(0, len(g), 8160):
+            bits = np.unpackbits(g[at : at + 8160].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+            full = len(bits) // 255 * 255  # counts of 255 rows fit in a byte
+            ones += bits[:full].reshape(-1, 255, 64).sum(1, dtype=np.uint8).sum(0, dtype=np.int64) + bits[full:].sum(0, dtype=np.uint8)
+        out.append(np.packbits(2 * ones > len(g)).tobytes())
     return b"".join(out)
 
 
@@ -136,39 +132,78 @@ def grouped_bits(n: int, both: np.ndarray, m: int) -> list[list[int]]:
     return out
 
 
-def thresholds(n: int, both: np.ndarray, parts: list[list[int]], distance: int) -> tuple[float, list[int]]:
-    """The allocation of least estimated cost with sum(t + 1) = distance + 1, by dynamic programming over partitions."""
+def independent(n: int, both: np.ndarray, part: list[int], upto: int) -> np.ndarray:
+    """Chance that two fingerprints differ in at most 0, 1 ... upto bits of a partition, were its bits independent."""
     p = np.diag(both) / max(n, 1)
     differ = 2 * p * (1 - p)
+    chance = np.zeros(upto + 2)
+    chance[0] = 1
+    for b in part:
+        chance[1:] = chance[1:] * (1 - differ[b]) + chance[:-1] * differ[b]
+        chance[0] *= 1 - differ[b]
+    return np.cumsum(chance)[: upto + 1]
+
+
+#: Fingerprints that are compared with each other to estimate candidates: all within each block of so many.
+BLOCK = 256
+
+
+def meeting_chances(distinct: DataFrame, n: int, both: np.ndarray, parts: list[list[int]], upto: int, words64: int) -> np.ndarray:
+    """(partition, x): share of pairs of fingerprints that differ in at most x bits of it.
+
+    Counted over pairs of all fingerprints, block by block where they lie; where too few pairs met to tell, the share
+    for independent bits, which is less than what correlated bits would give.
+    """
+    bits = 64 * words64
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met, pairs = np.zeros((len(parts), upto + 1), np.int64), 0
+        weight = np.uint64(1) << np.arange(64, dtype=np.uint64)
+        for b in batches:
+            for at in range(0, b.num_rows, BLOCK):
+                column = b[0].slice(at, BLOCK)
+                raw = np.unpackbits(np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, bits // 8), axis=1).astype(np.uint64)
+                i, j = np.triu_indices(len(raw), 1)
+                pairs += len(i)
+                for k, part in enumerate(parts):
+                    v = raw[:, part] @ weight[: len(part)]
+                    d = np.bitwise_count(v[i] ^ v[j])
+                    met[k] += [(d <= x).sum() for x in range(upto + 1)]
+        rows = [(k, x, int(met[k, x])) for k in range(len(parts)) for x in range(upto + 1)] + [(-1, 0, pairs)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.int64()), strict=True)], names=["part", "x", "met"])
+
+    found = {(r["part"], r["x"]): r["met"] for r in distinct.select("fp").mapInArrow(count, "part int, x int, met long").groupBy("part", "x").agg(F.sum("met").alias("met")).collect()}
+    pairs = max(1, found.get((-1, 0), 0))
+    low = np.array([independent(n, both, p, upto) for p in parts])
+    return np.maximum(low, np.array([[found.get((k, x), 0) / pairs for x in range(upto + 1)] for k in range(len(parts))]))
+
+
+def thresholds(n: int, chances: np.ndarray, parts: list[list[int]], distance: int) -> tuple[float, list[int]]:
+    """The allocation of least estimated cost with sum(t + 1) = distance + 1, by dynamic programming over partitions."""
     best: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}
-    for part in parts:
-        chance = np.zeros(distance + 2)
-        chance[0] = 1
-        for b in part:  # of so many differing bits among two fingerprints
-            chance[1:] = chance[1:] * (1 - differ[b]) + chance[:-1] * differ[b]
-            chance[0] *= 1 - differ[b]
+    for part, chance in zip(parts, chances, strict=True):
         new: dict[int, tuple[float, list[int]]] = {}
         for used, (cost, t) in best.items():
             for x in range(-1, min(distance, len(part)) + 1):
                 if used + x + 1 > distance + 1:
                     break
                 ball = sum(math.comb(len(part), i) for i in range(x + 1))
-                own = n * ball * ROW_COST + n * n / 2 * chance[: x + 1].sum() * PAIR_COST if x >= 0 else 0.0
+                own = n * ball * ROW_COST + n * n / 2 * chance[x] * PAIR_COST if x >= 0 else 0.0
                 if used + x + 1 not in new or cost + own < new[used + x + 1][0]:
                     new[used + x + 1] = (cost + own, [*t, x])
         best = new
     return best.get(distance + 1, (math.inf, []))
 
 
-def plan(n: int, both: np.ndarray, distance: int, parts: int | None = None) -> list[tuple[list[int], int]]:
-    """Partitions with their thresholds; without `parts`, of the m that costs least."""
-    if parts:
-        return [(p, 0) for p in grouped_bits(n, both, parts)]
-    options = []
-    for m in range(1, min(distance + 1, len(both)) + 1):
-        groups = grouped_bits(n, both, m)
-        cost, t = thresholds(n, both, groups, distance)
-        options.append((cost, [(p, x) for p, x in zip(groups, t, strict=False) if x >= 0]))
+def plan(n: int, both: np.ndarray, distance: int, chances_of: Callable[[list[list[int]]], np.ndarray]) -> list[tuple[list[int], int]]:
+    """Partitions with their thresholds, of the number of partitions that costs least."""
+    groups = [grouped_bits(n, both, m) for m in range(1, min(distance + 1, len(both)) + 1)]
+    chances = chances_of([p for g in groups for p in g])
+    options, at = [], 0
+    for g in groups:
+        cost, t = thresholds(n, chances[at : at + len(g)], g, distance)
+        at += len(g)
+        options.append((cost, [(p, x) for p, x in zip(g, t, strict=False) if x >= 0]))
     return min(options, key=lambda x: x[0])[1]
 
 
@@ -258,12 +293,13 @@ def links(met: DataFrame, distance: int, words64: int) -> DataFrame:
     return met.repartition(partitions(met), "k").sortWithinPartitions("k").mapInArrow(run, "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, words64: int = 1, distance: int = 3, parts: int | None = None) -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, words64: int = 1, distance: int = 3) -> DataFrame:
     """(key, fp, component): every row's fingerprint and the smallest key that is linked to it, itself included."""
     fps = materialize(fingerprints(docs, key, text, size, words64), "simhash")
     distinct = materialize(fps.groupBy("fp").agg(F.min(key).alias("least")), "simhash-distinct")
     n, both = bit_counts(distinct, words64)
-    found = links(probes(distinct, plan(n, both, distance, parts), words64), distance, words64)
+    index = plan(n, both, distance, lambda parts: meeting_chances(distinct, n, both, parts, distance, words64))
+    found = links(probes(distinct, index, words64), distance, words64)
     roots = components(found)
     # only fingerprints with links have a root other than themselves
     least = roots.join(distinct, roots["node"] == distinct["fp"]).groupBy("root").agg(F.min("least").alias("component"))
@@ -272,132 +308,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     return fps.join(classes, "fp").select(key, "fp", "component")
 
 
-def shingles(text: bytes, size: int) -> set[bytes]:
-    """The shingles that a fingerprint hashes; none of a text without words."""
-    words = [w for w in text.translate(FOLD).split(b" ") if w]
-    return {b" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
-
-
-def alike(a: set[bytes], b: set[bytes], resemblance: float) -> bool:
-    both = len(a & b)
-    return both >= resemblance * (len(a) + len(b) - both) - 1e-9
-
-
-def close_pairs(fp: np.ndarray, distance: int, roots: list, failed: list[set], names: list[bytes]) -> list[tuple[int, int]]:
-    """Pairs within distance that would connect what roots leave apart, each tree's worth once; none that failed before."""
-    labels = np.unique(np.array([r.hex() for r in roots]), return_inverse=True)[1]
-    out = []
-    for i in range(len(fp)):
-        rest = np.flatnonzero(labels != labels[i])
-        rest = rest[rest > i]
-        for j in rest[close(fp[i], fp[rest], distance)]:
-            if labels[i] != labels[j] and names[j] not in failed[i]:
-                out.append((i, int(j)))
-                labels[labels == labels[j]] = labels[i]
-    return out
-
-
-def candidates(met: DataFrame, distance: int, words64: int) -> DataFrame:
-    """(k, a, b) of (k, node, root, failed) rows: all pairs within distance of small buckets (k null), and of large ones what connects them."""
-
-    def bucket(k: np.ndarray, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        fp = np.frombuffer(b"".join(r[0][: 8 * words64] for r in rows), np.uint64).reshape(-1, words64)
-        begins = np.concatenate(([0], np.flatnonzero(k[1:] != k[:-1]) + 1, [len(k)]))
-        sizes = np.diff(begins)
-        member = np.repeat(sizes, sizes)
-        rest = np.flatnonzero((member > 1) & (member <= SMALL))
-        out: set[tuple] = set()
-        for s in range(1, SMALL):
-            rest = rest[rest + s < len(k)]
-            rest = rest[k[rest] == k[rest + s]]
-            if not len(rest):
-                break
-            for x in rest[close(fp[rest], fp[rest + s], distance)].tolist():
-                out.add((None, *sorted((rows[x][0], rows[x + s][0]))))
-        for g in np.flatnonzero(sizes > SMALL):
-            part = rows[begins[g] : begins[g + 1]]
-            names = [r[0] for r in part]
-            for x, y in close_pairs(fp[begins[g] : begins[g + 1]], distance, [r[1] or r[0] for r in part], [set(r[2] or ()) for r in part], names):
-                out.add((int(k[begins[g]]), *sorted((names[x], names[y]))))
-        rows_ = [r for r in out if r[1] != r[2]]
-        if rows_:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows_, strict=True), (pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["k", "a", "b"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        k, rows = np.zeros(0, np.int64), []
-        for batch in batches:
-            k = np.concatenate((k, batch[0].to_numpy()))
-            more = [c.to_pylist() for c in batch.columns[1:]]
-            rows += zip(*more, strict=True) if len(more) > 1 else ((x, None, None) for x in more[0])
-            last = int(np.searchsorted(k, k[-1])) if len(k) else 0
-            if last:
-                yield from bucket(k[:last], rows[:last])
-                k, rows = k[last:], rows[last:]
-        if len(k):
-            yield from bucket(k, rows)
-
-    return met.repartition(partitions(met), "k").sortWithinPartitions("k").mapInArrow(run, "k long, a binary, b binary")
-
-
-def near_copies(docs: DataFrame, key: str, text: str, size: int, words64: int, distance: int, parts: int, groupings: int, resemblance: float) -> DataFrame:
-    """(key, node, component): texts linked whose shingle sets have the resemblance; the index only proposes pairs.
-
-    A node is a distinct text: its fingerprint and its MD5. A large bucket proposes what connects it; where a proposed
-    pair fails, its bucket proposes others in the next round, until nothing in it is both close and untested.
-    """
-    import hashlib
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = [fingerprint(t or b"", size, words64) + hashlib.md5(t or b"").digest() for t in b[1].cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b[0], pa.array(out, pa.binary())], names=[key, "node"])
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ok, last, known = [], None, set()
-            for name, x, y in zip(b[1].to_pylist(), b[3].cast(pa.binary()).to_pylist(), b[4].cast(pa.binary()).to_pylist(), strict=True):
-                if name != last:
-                    last, known = name, shingles(x, size)
-                ok.append(alike(known, shingles(y, size), resemblance))
-            yield pa.RecordBatch.from_arrays([b[0], b[1], b[2], pa.array(ok, pa.bool_())], names=["k", "a", "b", "ok"])
-
-    source = docs.select(key, text)
-    rows = materialize(source.mapInArrow(run, f"`{key}` {source.schema[key].dataType.simpleString()}, node binary"), "simhash")
-    distinct = materialize(rows.groupBy("node").agg(F.min(key).alias("least")), "simhash-distinct")
-    n, both = bit_counts(distinct.select(F.substring("node", 1, 8 * words64).alias("fp")), words64)
-    index = [(p, 0) for p in grouped_bits(n, both, parts)]
-    for seed in range(1, groupings):
-        order = np.random.default_rng(seed).permutation(64 * words64)
-        index += [(sorted(p.tolist()), 0) for p in np.array_split(order, parts)]
-    at = probes(distinct.select(F.col("node").alias("fp")), index, words64).withColumnRenamed("fp", "node")
-    proposed, tested = candidates(at, distance, words64), None
-    while True:
-        pairs = materialize(proposed.groupBy("a", "b").agg(F.collect_set("k").alias("k")).select("k", "a", "b"), "simhash-pairs")
-        needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(distinct, "node")
-        texts = source.join(needed.withColumnRenamed("least", key), key).groupBy("node").agg(F.first(F.coalesce(text, F.lit(""))).alias("t"))
-        texts = materialize(texts, "simhash-texts")
-        told = pairs.join(texts.select(F.col("node").alias("a"), F.col("t").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("t").alias("y")), "b").select("k", "a", "b", "x", "y")
-        told = materialize(told.mapInArrow(verify, "k array<long>, a binary, b binary, ok boolean"), "simhash-told")
-        tested = told if tested is None else materialize(tested.unionByName(told), "simhash-told")
-        roots = components(tested.filter("ok").select("a", "b"))
-        root = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
-        apart = told.filter("not ok and size(k) > 0").join(root("a"), "a", "left").join(root("b"), "b", "left").filter(F.coalesce("a_root", "a") != F.coalesce("b_root", "b"))
-        open_ = materialize(apart.select(F.explode("k").alias("k")).distinct(), "simhash-open")
-        if open_.isEmpty():
-            break
-        lost = tested.filter("not ok")
-        lost = lost.select(F.col("a").alias("node"), "b").union(lost.select("b", "a")).groupBy("node").agg(F.collect_set("b").alias("failed"))
-        met = at.join(open_, "k", "left_semi").join(roots, "node", "left").join(lost, "node", "left").select("k", "node", "root", "failed")
-        proposed = candidates(met, distance, words64)
-    least = roots.join(distinct, "node").groupBy("root").agg(F.min("least").alias("component"))
-    moved = roots.join(least, "root").select("node", "component")
-    classes = distinct.join(moved, "node", "left").select("node", F.coalesce("component", "least").alias("component"))
-    return rows.join(classes, "node").select(key, "node", "component")
-
-
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """docs with one row (of the smallest key) of each component; columns as before."""
-    tagged = docs.withColumn("__id", F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.xxhash64(text).alias("row")))
-    found = (near_copies if "resemblance" in options else near_duplicates)(tagged, "__id", text, **options)
-    kept = found.filter(F.col("component") == F.col("__id")).select("__id").distinct()
-    return tagged.join(kept, "__id", "left_semi").dropDuplicates(["__id"]).select(*docs.columns)
+    """docs with one row (of the smallest key) of each component; columns as before. With `resemblance`, components of `near_copies`."""
+    from tessera.llm.near_copies import near_copies
+
+    # the row itself is nested meanwhile, so that no column's name can clash; equal rows are one
+    tagged = docs.select(F.struct("*").alias("row"), F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.xxhash64(text).alias("hash")).alias("id"), F.col(text).alias("text"))
+    found = (near_copies if "resemblance" in options else near_duplicates)(tagged, "id", "text", **options)
+    kept = found.filter(F.col("component") == F.col("id")).select("id").distinct()
+    return tagged.drop("text").join(kept, "id", "left_semi").dropDuplicates(["id"]).select("row.*")

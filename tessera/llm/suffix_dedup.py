@@ -32,8 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.common import partitions
-from tessera.llm.simhash import mixed
-from tessera.llm.sketches import BASE, INVERSE, powers
+from tessera.llm.hashing import BASE, INVERSE, mixed, powers
 
 LENGTH, GRAM = 200, 64
 #: Bytes that are hashed, or sorted, at once.

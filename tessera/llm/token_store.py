@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import materialize, partitions
+from tessera.llm.hashing import mixed
 from tessera.llm.ranges import even_cuts, how_many, number, place
-from tessera.llm.simhash import mixed
 
 LENGTH, PER_SHARD, KEY, ROUNDS = 512, 8192, 10, 6
 #: Bytes of records that a task gets at least, if a shard is smaller.

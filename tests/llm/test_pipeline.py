@@ -3,7 +3,14 @@ import random
 import numpy as np
 
 import corpus_pipeline
-from tessera.llm.simhash import close_pairs, keep_one, near_copies, shingles
+from tessera.llm import near_copies as near
+from tessera.llm.near_copies import near_copies
+from tessera.llm.simhash import grouped_bits, independent, keep_one
+
+
+def shingles(text, size):
+    words = text.lower().split()
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
 
 
 def test_near_copies_go_and_others_stay(spark):
@@ -76,7 +83,7 @@ def test_links_are_resemblance(spark):
     core = [rnd.choice(words) for _ in range(300)]
     for i in range(60):  # a large bucket: copies that differ in one word or in a tail
         docs.append((100 + i, " ".join(core[: 300 - i] + [f"x{i}_{j}" for j in range(i)])))
-    sets = [shingles(t.encode(), 5) for _, t in docs]
+    sets = [shingles(t, 5) for _, t in docs]
     group = list(range(len(docs)))
     for i in range(len(docs)):
         for j in range(i):
@@ -91,9 +98,58 @@ def test_links_are_resemblance(spark):
     assert 0 < sum(k != v for k, v in want.items() if k < 100) < 40  # some of the edited ones are below
 
 
-def test_failed_pairs_give_way():
-    fp = np.zeros((4, 8), np.uint64)
-    names = [b"a", b"b", b"c", b"d"]
-    assert close_pairs(fp, 3, names, [set()] * 4, names) == [(0, 1), (0, 2), (0, 3)]
-    failed = [{b"b", b"c", b"d"}, {b"a"}, {b"a"}, {b"a"}]
-    assert close_pairs(fp, 3, names, failed, names) == [(1, 2), (1, 3)]
+def test_proposals():
+    f = np.zeros((6, 8), np.uint64)
+    f[5] = np.uint64(2**64 - 1)
+    x, y, more = near.proposals(f, None, 3, 2)
+    assert more and sorted(zip(x.tolist(), y.tolist())) == [(0, 1), (0, 2), (0, 3), (0, 4), (1, 2), (1, 3), (1, 4)]
+    x, y, more = near.proposals(f, np.array([7, 7, 7, 3, 3, 5]), 3, None)
+    assert not more and sorted(zip(x.tolist(), y.tolist())) == [(a, b) for a in range(3) for b in (3, 4)]
+
+
+def test_index_keeps_recall_and_pairs_as_it_grows():
+    """The chosen thresholds reach the recall, are unequal where costs are, and random pairs a text grow slower than texts by far."""
+    rnd = np.random.default_rng(1)
+    share = np.where(np.arange(512) < 100, 0.9, 0.5)  # some bits tell little
+    x = (rnd.random((3000, 512)) < share).astype(float)
+    differ, per_text = near.differing(0.8), {}
+    for n in (2_000, 20_000, 200_000, 2_000_000):
+        both = x.T @ x / len(x) * n
+        parts = near.offered(n, both, differ, 0.99)
+        chances = np.array([independent(n, both, p, 1) for p in parts])
+        index = near.allocate(n, parts, chances, differ, 0.99)
+        assert sum(near.gains(len(p), differ)[t] for p, t in index) >= -np.log(0.01) * 0.999
+        used = {tuple(p) for p, _ in index}
+        cost = {tuple(p): c for p, c in zip(parts, chances[:, 0])}
+        assert len(used) < len(parts) and np.mean([cost[p] for p in used]) < np.mean([c for p, c in cost.items() if p not in used])
+        per_text[n] = n * sum(cost[tuple(p)] for p, _ in index) / len(index)
+    assert per_text[2_000_000] < 3 * per_text[20_000]
+    assert len(grouped_bits(10, np.eye(512), 36)) == 36
+
+
+def test_many_copies_send_few_pairs(spark):
+    """A large group of near copies: fewer pairs are tested than a small multiple of its texts, and all are linked."""
+    rnd = random.Random(2)
+    core = [f"w{rnd.randrange(5000)}" for _ in range(300)]
+    docs = []
+    for i in range(700):
+        t = list(core)
+        for _ in range(rnd.randint(0, 3)):
+            t[rnd.randrange(300)] = f"x{i}"
+        docs.append((i, " ".join([*t, f"end{i}"])))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    tested = []
+    old = near.materialize
+
+    def watched(df, name):
+        out = old(df, name)
+        if name == "near-tested":
+            tested.append(out.count())
+        return out
+
+    near.materialize = watched
+    try:
+        got = {r["component"] for r in near_copies(frame, "doc_id", "text", **corpus_pipeline.NEAR).collect()}
+    finally:
+        near.materialize = old
+    assert got == {0} and sum(tested) < 700 * 60 < 700 * 699 / 2

@@ -5,7 +5,7 @@ import numpy as np
 import xxhash
 
 from tessera.llm.components import components
-from tessera.llm.simhash import fingerprint, forest, keep_one, near_duplicates, plan
+from tessera.llm.simhash import fingerprint, forest, independent, keep_one, near_duplicates, plan
 
 
 def brute_fingerprint(text, size=3):
@@ -61,7 +61,8 @@ def test_plan_covers_the_distance():
     rnd = np.random.default_rng(1)
     for n in (10, 10**6, 10**9, 10**12):
         x = (rnd.random((500, 64)) < 0.5).astype(float)
-        index = plan(n, x.T @ x / 500 * n, 3)
+        both = x.T @ x / 500 * n
+        index = plan(n, both, 3, lambda parts: np.array([independent(n, both, p, 3) for p in parts]))
         assert sum(t + 1 for _, t in index) == 4
         assert sorted(b for p, _ in index for b in p) == sorted(set(b for p, _ in index for b in p))
 
@@ -93,3 +94,22 @@ def test_keep_one(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
     assert sorted(r["doc_id"] for r in keep_one(docs).collect()) == [2, 5, 7]
     assert keep_one(docs).columns == docs.columns
+    named = docs.withColumnsRenamed({"n_chars": "id"}).withColumn("row", docs["doc_id"])
+    assert keep_one(named).columns == named.columns
+
+
+def test_chances_count_real_pairs(spark):
+    """Bits that go together meet far more often than independent ones would."""
+    from tessera.llm.simhash import bit_counts, meeting_chances
+
+    rnd = np.random.default_rng(5)
+    rows = []
+    for i in range(512):
+        together = rnd.random() < 0.5
+        bits = np.concatenate((np.full(16, together), rnd.random(48) < 0.5))
+        rows.append((np.packbits(bits).tobytes(),))
+    distinct = spark.createDataFrame(rows, "fp binary").coalesce(1)
+    n, both = bit_counts(distinct, 1)
+    found = meeting_chances(distinct, n, both, [list(range(16)), list(range(16, 32))], 1, 1)
+    assert n == 512 and abs(found[0, 0] - 0.5) < 0.05 and found[1, 1] < 0.01
+    assert independent(n, both, list(range(16)), 0)[0] < 1e-4
