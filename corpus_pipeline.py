@@ -5,9 +5,8 @@ the stages cut the lineage.
 
 1. toxicity: documents that the CRF scores 0.5 or more go.
 2. simhash_near_dedup: of each group of near copies (five-word shingles, resemblance 0.8 or more) the document of
-   the smallest id stays. 512-bit fingerprints of a resemblance of 0.8 differ in 78 bits on the mean, with a
-   deviation of 8; pairs within 112 bits are candidates, and linked if their shingle sets do have that resemblance.
-   Two independent groupings of 32 partitions of 16 bits meet 99 % of the pairs of 0.8 (computed), more above.
+   the smallest id stays. Candidates come from 512-bit fingerprints, through an index that meets 99 % of the pairs
+   of exactly 0.8 and more of closer ones; pairs are linked if their shingle sets do have that resemblance.
 3. decontamination: benchmark passages are cut out; documents that are mostly benchmark go.
 4. mixing: documents are taken as often as the mix to target weights takes them.
 5. sharding: every row gets its shard and its slot there.
@@ -25,7 +24,7 @@ from tessera.llm.simhash import keep_one
 from tessera.llm.toxicity import keep_clean
 
 SHARDS = 40
-NEAR = {"size": 5, "words64": 8, "distance": 112, "parts": 32, "groupings": 2, "resemblance": 0.8}
+NEAR = {"size": 5, "words64": 8, "resemblance": 0.8, "recall": 0.99}
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
