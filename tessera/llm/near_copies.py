@@ -41,6 +41,13 @@ ROUNDS = (12, 64, None)
 DEVIATIONS = 3.3
 
 
+def sliced(batches: Iterator[pa.RecordBatch], size: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, so that less is held twice."""
+    for b in batches:
+        for at in range(0, b.num_rows, size):
+            yield b.slice(at, size)
+
+
 def in_parts(texts: list[bytes]) -> Iterator[list[bytes]]:
     begin, total = 0, 0
     for i, t in enumerate(texts):
@@ -215,13 +222,13 @@ def near_copies(docs: DataFrame, key: str, text: str, size: int = 5, words64: in
     """(key, component) of every row: the smallest key of the texts linked to its own, itself included."""
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             texts = [t or b"" for t in b[1].cast(pa.binary()).to_pylist()]
             fps = [majority(h, words64) for part in in_parts(texts) for h in shingle_hashes(part, size)]
             yield pa.RecordBatch.from_arrays([b[0], pa.array([hashlib.md5(t).digest() for t in texts], pa.binary()), pa.array(fps, pa.binary())], names=[key, "node", "fp"])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             texts = [t or b"" for t in b[1].cast(pa.binary()).to_pylist()]
             found = [np.unique(h).tobytes() for part in in_parts(texts) for h in shingle_hashes(part, size)]
             yield pa.RecordBatch.from_arrays([b[0], pa.array(found, pa.binary())], names=["id", "shingles"])
@@ -229,8 +236,8 @@ def near_copies(docs: DataFrame, key: str, text: str, size: int = 5, words64: in
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ok = []
-            for x, y in zip(b[2].to_pylist(), b[3].to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(b[2], b[3], strict=True):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 ok.append(both >= resemblance * (len(x) + len(y) - both) - 1e-9)
             yield pa.RecordBatch.from_arrays([b[0], b[1], pa.array(ok, pa.bool_())], names=["a", "b", "ok"])

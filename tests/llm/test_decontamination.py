@@ -75,3 +75,33 @@ def test_decontaminate_cuts_spans_and_drops_covered_documents(spark):
     assert out[2]["text"] == rows[1][1] and out[3]["text"] is None
     assert out[6]["text"] == "x " * 50_000
     assert decontaminate(docs, bench).columns == docs.columns
+
+
+def test_blocks_equal_brute_force(spark, monkeypatch):
+    from tessera.llm import decontamination
+
+    monkeypatch.setattr(decontamination, "TEXTS_PER_TASK", 7)
+    rnd = random.Random(6)
+    text = lambda n: " ".join(rnd.choice(["ab", "Cd", "é", "x9", "zz-y"]) for _ in range(rnd.randint(0, n)))
+    items = [(str(rnd.randint(0, 30)), text(9)) for _ in range(60)] + [("all", "ab")]
+    rows = [(i, text(40)) for i in range(120)] + [(120, None), (3, rnd.choice(items)[1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "text", "1 words", "2 key", "3 block", "4 `row`", "5 spans", "6 __items")
+    want = sorted((str(d), *brute(t, items, 4)) for d, t in rows)
+    for size in (1 << 20, 100):
+        found = matches(docs, spark.createDataFrame(items, "item_id string, text string"), window=4, block_bytes=size)
+        got = sorted((str(r["row"]["doc_id"]), r["words"], sum(b - a for a, b in zip(r["spans"][::2], r["spans"][1::2])), r["items"]) for r in found.collect())
+        assert got == want
+    assert decontaminate(docs, spark.createDataFrame(items, "item_id string, text string"), window=4).columns == docs.columns
+
+
+def test_equal_items_are_one_string():
+    words = " ".join(f"w{i}" for i in range(300))
+    automaton = Automaton([(str(i), words.encode()) for i in range(4000)], 10)
+    assert len(automaton.next) < 700 and sum(map(len, automaton.holds.values())) < 700
+    assert len(automaton.match(words_of(words.encode()))[1]) == 4000
+
+
+def test_a_document_made_of_a_short_item_goes(spark):
+    docs = spark.createDataFrame([(1, "short item", None, None, 1), (2, "short item " + "and more words " * 5, None, None, 1)], SCHEMA)
+    bench = spark.createDataFrame([(1, "short item")], "item_id long, text string")
+    assert [(r["doc_id"], r["text"][:10]) for r in decontaminate(docs, bench, least_words=5).collect()] == [(2, "short item")]
