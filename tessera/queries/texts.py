@@ -220,32 +220,31 @@ UNITS, CODES = ("1111", "2222"), ("1111.01", "2222.02")
 
 
 def stub(step: str, system: str, items: list[dict]) -> str:
-    """A deterministic stand-in for the model: codes by the text's digest; some answers are filtered or wrong."""
+    """A deterministic stand-in for the model: codes by the text's digest; some documents make the filter reject their batch."""
     import json
 
     out = []
     for x in items:
-        n = int(hashlib.md5(x["description"].encode()).hexdigest(), 16)
+        n = int(hashlib.md5(x["description"].encode()).hexdigest()[:8], 16)
         if n % 97 == 0:
             raise classify.Filtered
-        unit = UNITS[n % 2]
-        out.append({"ref": x["ref"], "unit": unit, "second": None, "code": f"{system}.0{1 + UNITS.index(system)}" if step == "code" else None, "confidence": (n % 100) / 100, "skills": ["Excel"], "pii_found": False})
+        code = f"{system}.0{1 + UNITS.index(system)}" if step == "code" else None
+        out.append({"ref": x["ref"], "unit": UNITS[n % 2], "second": None, "code": code, "confidence": (n % 100) / 100, "skills": ["Excel"], "pii_found": n % 83 == 0})
     return json.dumps(out)
 
 
-@query()
+@query(r"""WITH c AS (SELECT CAST(doc_id AS VARCHAR) AS id, coalesce(trim(regexp_replace(text, '\s+', ' ', 'g')), '') AS w FROM documents),
+d AS (SELECT id, CASE WHEN length(w) <= 800 THEN w ELSE regexp_replace(regexp_replace(left(w, 800), ' [^ ]*$', ''), '[,.;:-]+$', '') || '…' END AS t FROM c),
+n AS (SELECT id, CAST('0x' || left(md5(t), 8) AS BIGINT) AS n FROM d)
+SELECT id, CASE WHEN n % 97 <> 0 THEN CASE WHEN n % 2 = 0 THEN '1111' ELSE '2222' END END AS unit, CASE WHEN n % 97 <> 0 THEN CASE WHEN n % 2 = 0 THEN '1111.01' ELSE '2222.02' END END AS code,
+CASE WHEN n % 97 <> 0 THEN 'ok' ELSE 'failed' END AS status, n % 97 = 0 OR n % 100 < 70 OR n % 83 = 0 AS needs_review FROM n""")
 def two_step_classify(t):
-    """Both steps of coding over all documents, with the stand-in model."""
-    from tessera.operators.relational import batches
-
+    """Both steps of coding over all documents, with the stand-in model; a filtered batch loses only the documents at fault."""
     s = classify.Settings()
-    docs = t("documents").select(F.col("doc_id").cast("string").alias("id"), "lang", "text")
-    items = docs.withColumn("item", classify.item({"id": F.col("id")}, F.col("text"), s.description_chars))
-    first_batches = batches(items, ["lang"], ["id"], s.batch_size, F.col("item")).select(F.lit(None).cast("string").alias("group"), "items")
-    first = classify.run_step(first_batches, "unit", stub, lambda g: "units", lambda g: classify.check_units(frozenset(UNITS), s.max_skills)).filter("kind = 'answer'")
-    get = lambda k, kind: F.get_json_object("answer", f"$.{k}").cast(kind)
-    first = first.select("id", get("unit", "string").alias("unit"), get("second", "string").alias("second"), get("confidence", "double").alias("confidence4"), get("pii", "boolean").alias("pii"))
-    second_batches = batches(items.join(first, "id"), ["unit", "lang"], ["id"], s.batch_size, F.col("item")).select(F.col("unit").alias("group"), "items")
-    second = classify.run_step(second_batches, "code", stub, lambda g: g, lambda g: classify.check_codes(frozenset(CODES), g)).filter("kind = 'answer'")
-    second = second.select("id", get("code", "string").alias("code"), get("confidence", "double").alias("confidence"), get("reason", "string").alias("reason"))
-    return classify.outcome(docs, first, second, s.review_threshold).select("id", "unit", "code", "status", "needs_review")
+    docs = t("documents")
+    spark = docs.sparkSession
+    items = docs.select(F.col("doc_id").cast("string").alias("id"), F.lit(None).cast("string").alias("group"), classify.item({}, F.col("text"), s.description_chars).alias("item"))
+    first = classify.unit_step(spark.createDataFrame([(u,) for u in UNITS], "unit string"), lambda g: "units", s.max_skills)
+    second = classify.code_step(spark.createDataFrame([(c,) for c in CODES], "code string"), lambda g: g)
+    found, _, _ = classify.two_steps(items, stub, first, second, s)
+    return found.select("id", "unit", "code", "status", "needs_review")

@@ -5,61 +5,110 @@ from pyspark.sql import functions as F
 
 from tessera.operators import classify, quality
 from tessera.plans import marts
+from tessera.sources.model_client import ModelClient, ModelError
 from tessera.streaming import ingest
 
-UNITS, CODES = frozenset({"1111", "2222"}), frozenset({"1111.01"})
+UNITS = ("1111", "2222")
 
 
 def answer(items, **more):
     return json.dumps([{"ref": x["ref"], "unit": "1111", "second": "9", "confidence": 0.5, "skills": [" a ", "", "b"], "code": "1111.01"} | more for x in items])
 
 
-def test_ask_retries_and_bisects():
-    items = [{"ref": f"j{i}", "description": str(i)} for i in range(4)]
-    tries = []
+def steps(spark, max_skills=8):
+    units = spark.createDataFrame([(u,) for u in UNITS], "unit string")
+    codes = spark.createDataFrame([("1111.01",)], "code string")
+    return classify.unit_step(units, lambda g: "units", max_skills), classify.code_step(codes, lambda g: g)
+
+
+def items(spark, n, group=None):
+    return spark.createDataFrame([(f"i{k}", group, json.dumps({"description": str(k)})) for k in range(n)], "id string, group string, item string")
+
+
+def asked(spark, rows, step, model, size=4):
+    answers, calls = classify.run_step(rows, step, model, size)
+    return {r["id"]: r for r in answers.collect()}, sorted((r["status"], r["n_items"]) for r in calls.collect())
+
+
+def test_a_bad_reply_is_asked_for_once_more(spark, tmp_path):
+    mark = str(tmp_path / "asked")
 
     def flaky(step, system, batch):
-        tries.append(len(batch))
-        return "no json" if len(tries) == 1 else f"```json\n{json.dumps({'results': json.loads(answer(batch))})}\n```"
+        import os
+
+        if not os.path.exists(mark):
+            open(mark, "w").close()
+            return "no json"
+        return f"```json\n{json.dumps({'results': json.loads(answer(batch))})}\n```"
+
+    out, calls = asked(spark, items(spark, 4), steps(spark, 1)[0], flaky)
+    assert set(out) == {"i0", "i1", "i2", "i3"} and out["i0"]["skills"] == ["a"] and out["i0"]["second"] is None and out["i0"]["pii"] is False
+    assert calls == [("failed", 4), ("ok", 4)]
+    out, calls = asked(spark, items(spark, 4), steps(spark)[0], lambda *_: "no json")
+    assert out == {} and calls == [("failed", 4), ("failed", 4)]
 
-    calls = []
-    out = classify.ask(flaky, "unit", "s", items, classify.check_units(UNITS, 1), calls)
-    assert set(out) == {"j0", "j1", "j2", "j3"} and out["j0"]["skills"] == ["a"] and out["j0"]["second"] is None
-    assert [c["status"] for c in calls] == ["failed", "ok"]
 
+def test_a_filtered_batch_loses_only_what_is_at_fault(spark):
     def filters(step, system, batch):
         if any(x["description"] == "2" for x in batch):
             raise classify.Filtered
-        return answer(batch)
+        return classify.Reply(answer(batch), 10, 5)
 
-    calls = []
-    out = classify.ask(filters, "unit", "s", items, classify.check_units(UNITS, 8), calls)
-    assert set(out) == {"j0", "j1", "j3"} and [c["status"] for c in calls].count("filtered") == 3
+    answers, calls = classify.run_step(items(spark, 4), steps(spark)[0], filters, 4)
+    assert {r["id"] for r in answers.collect()} == {"i0", "i1", "i3"}
+    assert sorted((r["status"], r["n_items"]) for r in calls.collect()) == [("filtered", 1), ("filtered", 2), ("filtered", 4), ("ok", 1), ("ok", 2)]
+    total = classify.usage(calls, price_in=1.0, price_out=2.0).first()
+    assert total["calls"] == 5 and total["ok"] == 2 and total["output_tokens"] == 10 and total["items"] == 10
 
     def broken(step, system, batch):
         raise OSError
 
-    assert classify.ask(broken, "unit", "s", items, classify.check_units(UNITS, 8), calls := []) == {} and len(calls) == 1
+    assert asked(spark, items(spark, 4), steps(spark)[0], broken) == ({}, [("failed", 4)])
 
 
-@pytest.mark.parametrize("bad", [{"ref": "x"}, {"unit": "3333"}, {"confidence": 2}, {"confidence": "much"}, {"skills": "a"}])
-def test_checks_reject(bad):
-    with pytest.raises(classify.BadAnswer):
-        classify.check_units(UNITS, 8)(["j0"], json.loads(answer([{"ref": "j0"}], **bad)))
+def test_replies_are_judged_whole(spark):
+    """Batches by group, each with one fault: none of its answers counts."""
+    faults = {"ref": {"ref": "x"}, "unit": {"unit": "3333"}, "high": {"confidence": 2}, "word": {"confidence": "much"}, "none": {"confidence": None}, "skills": {"skills": "a"}, "good": {}, "second": {"second": "2222", "skills": None, "pii_found": True}}
+    rows = spark.createDataFrame([(f"{g}{k}", g, "{}") for g in faults for k in range(2)], "id string, group string, item string")
+    step = steps(spark)[0]
+    step = classify.Step(step.name, lambda g: g, step.judge)
 
+    def model(name, system, batch):
+        made = json.loads(answer(batch))
+        made[0] |= faults[system]
+        return json.dumps(made)
 
-def test_other_checks():
-    ok = classify.check_codes(CODES, "1111")(["j0"], [{"ref": "j0", "code": "1111.01", "confidence": 1, "reason": "r" * 400}])
-    assert len(ok["j0"]["reason"]) == 300
-    with pytest.raises(classify.BadAnswer):
-        classify.check_codes(CODES, "2222")(["j0"], [{"ref": "j0", "code": "1111.01", "confidence": 1}])
-    assert classify.check_sections(frozenset("AB"))(["c"], [{"ref": "c", "section": " b ", "confidence": 0}])["c"]["section"] == "B"
+    out, _ = asked(spark, rows, step, model)
+    assert set(out) == {"good0", "good1", "second0", "second1"}
+    assert out["second0"]["second"] == "2222" and out["second0"]["pii"] and out["second0"]["skills"] == [] and out["second1"]["skills"] == ["a", "b"]
 
 
-def test_run_step_and_outcome(spark):
-    batches = spark.createDataFrame([("1111", ['{"id":"x","description":"d"}', '{"id":"y","description":"e"}'])], "group string, items array<string>")
-    rows = classify.run_step(batches, "code", lambda step, system, items: answer(items), lambda g: g, lambda g: classify.check_codes(CODES, g)).collect()
-    assert sorted(r["id"] for r in rows if r["kind"] == "answer") == ["x", "y"] and [r["n_items"] for r in rows if r["kind"] == "call"] == [2]
+def test_codes_and_sections(spark):
+    code = steps(spark)[1]
+    out, _ = asked(spark, items(spark, 2, "1111"), code, lambda s, t, b: answer(b, reason="r" * 400))
+    assert {r["code"] for r in out.values()} == {"1111.01"} and len(out["i0"]["reason"]) == 300
+    assert asked(spark, items(spark, 2, "2222"), code, lambda s, t, b: answer(b))[0] == {}
+    listed = classify.listing(spark.createDataFrame([("B", "Mining"), ("A", "Farms")], "section string, title string"), "section", "title")
+    step = classify.section_step(spark.createDataFrame([("A",), ("B",)], "section string"), classify.systems(listed, classify.SECTION_TEXT))
+
+    def model(name, system, batch):
+        assert system.endswith("A Farms\nB Mining") and len(batch) == 15
+        return answer(batch, section=" b ", confidence=0)
+
+    found, calls = classify.company_sections(items(spark, 15).drop("group"), model, step)
+    assert {tuple(r)[1:] for r in found.collect()} == {("B", 0.0)} and calls.count() == 1
+
+
+def test_two_steps_and_outcome(spark):
+    def model(step, system, batch):
+        if step == "unit":
+            return json.dumps([{"ref": x["ref"], "unit": UNITS[int(x["description"]) % 2], "confidence": 0.9, "skills": ["Excel", "excel ", "SQL"]} for x in batch])
+        return answer(batch, confidence=0.8)
+
+    first, second = steps(spark)
+    found, skills, calls = classify.two_steps(items(spark, 6), model, first, second)
+    assert {r["id"]: (r["status"], r["code"], r["needs_review"]) for r in found.collect()} == {f"i{k}": ("ok", "1111.01", False) if k % 2 == 0 else ("partial", None, True) for k in range(6)}
+    assert skills.filter("id = 'i0'").count() == 2 and {r["step"] for r in calls.collect()} == {"unit", "code"}
     ids = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "id string")
     first = spark.createDataFrame([("a", "1", None, 0.9, False), ("b", "1", None, 0.9, False), ("d", "1", None, 0.9, True)], "id string, unit string, second string, confidence4 double, pii boolean")
     second = spark.createDataFrame([("a", "1.1", 0.8, None), ("d", "1.1", 0.8, None)], "id string, code string, confidence double, reason string")
@@ -68,6 +117,36 @@ def test_run_step_and_outcome(spark):
     assert tuple(classify.token_estimate(spark.createDataFrame([("x" * 7,)] * 11, "t string"), "t").first()) == (11, 2, 22)
 
 
+def test_client_waits_longer_each_time():
+    def client(replies):
+        slept = []
+        left = iter(replies)
+
+        def send(request):
+            got = next(left)
+            if isinstance(got, Exception):
+                raise got
+            return got
+
+        return ModelClient(send, "m", sleep=slept.append), slept
+
+    good = (200, {"choices": [{"message": {"content": "[]"}}], "usage": {"prompt_tokens": 3, "completion_tokens": 1}})
+    empty = (200, {"choices": [{"message": {"content": " "}}]})
+    ask, slept = client([(429, {}), (503, {}), empty, good])
+    assert ask("unit", "s", []) == classify.Reply("[]", 3, 1) and slept == [5, 10, 20]
+    ask, slept = client([OSError("line"), good])
+    assert ask("unit", "s", []).text == "[]" and slept == [5]
+    ask, slept = client([(500, {})] * 4)
+    with pytest.raises(ModelError):
+        ask("unit", "s", [])
+    assert slept == [5, 10, 20]
+    for reply, error in (((400, {}), ModelError), ((400, {"error": {"code": "content_filter"}}), classify.Filtered), ((200, {"choices": [{"finish_reason": "content_filter"}]}), classify.Filtered)):
+        ask, slept = client([reply])
+        with pytest.raises(error):
+            ask("unit", "s", [])
+        assert slept == []
+
+
 def test_gate_and_publishing(spark):
     checks = spark.createDataFrame([("a", "fail", "pass", 1.0), ("b", "warn", "warn", 0.0)], "check string, level string, status string, value double")
     assert tuple(quality.verdict(checks).first()) == ("pass", [], ["b"])

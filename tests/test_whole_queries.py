@@ -82,6 +82,8 @@ def test_classify_limits_are_the_references(spark):
     text = "a" * 745 + " tail"
     item = spark.createDataFrame([(text,)], "t string").select(classify.item({}, F.col("t"), s.description_chars).alias("i")).first()["i"]
     assert "tail" in item
-    answer = {"ref": "j1", "unit": "2431", "second": None, "confidence": 0.9, "pii": False, "skills": [f"s{i}" for i in range(12)]}
-    got = classify.check_units(frozenset({"2431"}), s.max_skills)(["j1"], [answer])
-    assert "s9" in str(got) and "s10" not in str(got)
+    rows = spark.createDataFrame([("x", None, "{}")], "id string, group string, item string")
+    step = classify.unit_step(spark.createDataFrame([("2431",)], "unit string"), lambda g: "", s.max_skills)
+    reply = '[{"ref": "j1", "unit": "2431", "confidence": 0.9, "skills": [' + ", ".join(f'"s{i}"' for i in range(12)) + "]}]"
+    got = classify.run_step(rows, step, lambda *_: reply, s.batch_size)[0].first()["skills"]
+    assert got == [f"s{i}" for i in range(10)]
