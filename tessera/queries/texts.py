@@ -185,7 +185,7 @@ def link_discovery(t):
 @query()
 def structured_pages(t):
     """Every page through the structured-data reader: postings, or the error that says why there is none."""
-    return pages.extract(t("pages"), pages.structured_page, "html", "url").select("url", "error", "title")
+    return pages.structured(t("pages"), "html", "url").select("url", "error", "title")
 
 
 @query("""SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")

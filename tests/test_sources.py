@@ -28,8 +28,7 @@ def test_structured_pages(spark):
         page(json.dumps(POSTING | {"jobLocationType": "TELECOMMUTE", "jobLocation": [], "baseSalary": {"value": {"maxValue": "9,000,000"}}}), '<div><div class="font-bold">Pendidikan</div><div>SMA</div><div>D3</div></div>'),
     ]
     df = spark.createDataFrame([(f"https://x/{i}", b) for i, b in enumerate(bodies)], "url string, body string")
-    parse = lambda b, u, k: pages.structured_page(b, u, k, {"Pendidikan": "education_listed"}, ("education_listed",))
-    got = {r["url"][-1]: r for r in pages.extract(df, parse, job_id=pages.id_from_url(F.col("url"), r"/(\d+)$")).collect()}
+    got = {r["url"][-1]: r for r in pages.structured(df, job_id=pages.id_from_url(F.col("url"), r"/(\d+)$"), labels={"Pendidikan": "education_listed"}, several=("education_listed",)).collect()}
     a = got["0"]
     assert (a["title"], a["company_name"], a["location_raw"], a["salary_raw"], a["salary_min"], a["salary_max"]) == ("Staf & Admin", "PT Contoh", "Kota Bandung, Jawa Barat", "IDR 5000000-7000000/month", 5000000, 7000000)
     assert a["experience_raw"] == "24 bulan" and a["employment_type"] == "FULL_TIME, CONTRACT" and a["education_raw"] == "bachelor degree" and a["source_job_id"] == "0"
@@ -41,18 +40,19 @@ def test_structured_pages(spark):
 def test_search_and_streamed_pages(spark):
     jobs = {"jobs": [{"id": 7, "name": "Kurir", "company": {"code": "c", "name": "Cepat"}, "google_location": {"address_components": {"city": "Depok", "region": "Jawa Barat"}}, "base_salary": 100, "maximum_salary": None, "salary_interval": "daily", "education_level": 999, "work_experience": 200, "is_work_from_home": False, "description": "<p>a</p>", "activation_date": "2026-10-01"}, {"id": 8, "name": "X", "is_work_from_home": True, "education_level": 550}]}
     df = spark.createDataFrame([("u1", json.dumps(jobs)), ("u2", "[]"), ("u3", '{"jobs": null}')], "url string, body string")
-    got = pages.extract(df, pages.search_payload).collect()
+    got = pages.search(df).collect()
     assert [(r["url"], r["source_job_id"], r["location_raw"], r["salary_raw"], r["education_raw"]) for r in got] == [("u1", "7", "Depok, Jawa Barat", "IDR 100/day", "Code 999"), ("u1", "8", "Remote", None, "Sarjana (S1)"), ("u2", None, None, None, None)]
     record = {"similarVacancies": [{"vacancy": {"id": "1", "slug": "other"}}], "vacancy": {"id": "2", "slug": "me", "positionName": "Barista", "educationLevelStr": "Minimal SMA", "salaryLowerBound": 3000000, "salaryUpperBound": 4000000, "company": {"name": "Kopi", "companyIndustry": {"name": "F&B"}}, "city": {"name": "Depok"}, "province": {"name": "Jawa Barat"}, "skillTags": ["a", "b"], "description": "seduh"}}
     stream = json.dumps(json.dumps(record, separators=(",", ":")))[1:-1]
     cut = stream.index("similar") + 3
     body = f'<script>self.__next_f.push([1,"{stream[:cut]}"])</script><script>self.__next_f.push([1,"{stream[cut:]}"])</script>'
     df = spark.createDataFrame([("https://x/me", body), ("https://x/none", body)], "url string, body string")
-    got = {r["url"]: r for r in pages.extract(df, pages.composite_page, job_id=pages.id_from_url(F.col("url"), "/([a-z]+)$")).collect()}
+    got = {r["url"]: r for r in pages.composite(df, job_id=pages.id_from_url(F.col("url"), "/([a-z]+)$")).collect()}
     a = got["https://x/me"]
     assert (a["title"], a["location_raw"], a["salary_raw"], a["education_raw"], a["extra"]["industry"], a["extra"]["skills"]) == ("Barista", "Depok, Jawa Barat", "IDR 3000000-4000000/month", "Minimal SMA", "F&B", "a, b")
     assert got["https://x/none"]["error"]
-    assert json.loads(pages.embedded('<script id="__NEXT_DATA__">{"a": 1}</script>')) == {"a": 1}
+    nested = spark.createDataFrame([("u", '<script id="__NEXT_DATA__" type="application/json">{"a": 1}</script>'), ("v", None)], "url string, body string")
+    assert {r["url"]: r["json"] for r in pages.embedded(nested).collect()} == {"u": '{"a": 1}', "v": None}
 
 
 def test_discovery(spark):
@@ -83,7 +83,7 @@ def test_raw_store_and_ingest(spark, tmp_path):
     r = back.first()
     assert r["key"] == "raw/s/2026-10-09/id_1.html.gz" and json.loads(r["meta"])["bytes"] == len(rows[0][5].encode())
     assert rawstore.load(spark, str(tmp_path), "t").count() == 0
-    parsed = pages.extract(back.withColumn("url", F.get_json_object("meta", "$.url")), pages.structured_page, job_id=F.lit("1")).filter("error is null")
+    parsed = pages.structured(back.withColumn("url", F.get_json_object("meta", "$.url")), job_id=F.lit("1")).filter("error is null")
     cleaned = ingest.clean(parsed, "s", F.lit("2026-10-09T07:00:00+07:00"), b"key")
     out = ingest.normalise(cleaned, places(spark))
     r = out.first()
