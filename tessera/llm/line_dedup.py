@@ -1,22 +1,24 @@
-"""Line dedup over repeated runs of lines, or over content-defined chunks of lines (operator 1).
-
-Runs (`dedup_runs`, the registered query): of every run of two lines or more that occurs again anywhere, equal in
-every byte, the first occurrence stays and the lines of all others go. A run occurs again just if each of its pairs
-of neighbouring lines does, so pairs of neighbours meet; all repeated runs are found, whatever stands around them.
-Pairs meet as hashes alone first; the bytes travel only of those whose hash occurs again.
-A line that a run's first occurrence shares with an overlapping second one (three equal lines or more) stays.
-
-Chunks (`dedup_lines`): a text is its lines (cut at newlines). A hash rolls over the hashes of the last WINDOW lines; where it meets a
-mask, a chunk ends, so boundaries follow the content and stay where they are when lines are put in before them.
-Chunks have between LEAST and MOST lines. Of each chunk of two lines or more that occurs again anywhere, equal in
-every byte, the first occurrence stays (smallest doc_id, then text hash, then place) and all others go.
-
-Equal chunks or pairs meet by hash. Those that meet within a task are settled before the exchange, so a chunk that a third
-of all documents share sends one row a task.
-
-Defined cases: null stays null and has no lines; the empty text is one empty line, which stays; equal rows (same
-id and text) are one document and keep or lose the same lines; null ids come last in order; kept lines are joined
-by newlines.
+"""Line dedup over content-defined chunks of lines (operator 1).
+
+A text is its lines (cut at newlines). A hash rolls over the hashes of the last WINDOW lines; where it meets a mask, a
+chunk ends, so boundaries follow the content and stay where they are when lines are put in before them. Chunks have
+between LEAST and MOST lines. Of each chunk of two lines or more that occurs again anywhere, equal in every byte, the
+first occurrence stays (smallest doc_id, then text hash, then place) and all others go (`dedup_lines` stops here).
+
+A boundary may lie inside the ends of a repeated passage, and a passage of a few lines may hold no whole chunk. So
+`dedup_runs`, the registered query, goes on exactly: what chunks have not removed is compared by pairs of neighbouring
+lines. A run of two lines or more occurs again just if each of its pairs does, so every repeated run is found, whatever
+stands around it; its first occurrence stays and the lines of all others go. A line that a run's first occurrence
+shares with an overlapping second one (three equal lines or more) stays.
+
+Chunks and pairs meet as hashes first; the bytes travel only of those whose hash occurs again, and are compared. Those
+that meet within a task are settled before the exchange, so a chunk that a third of all documents share sends one row a
+task.
+
+Defined cases: null stays null and has no lines; the empty text is one empty line, which stays; very long texts and
+lines are cut whole; equal rows (same id and text) are one document and keep or lose the same lines; null ids come last
+in order; kept lines are joined by newlines; an empty table gives an empty result. doc_id is a number; other columns of
+docs are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,9 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import partitions
+from tessera.llm.common import materialize, partitions
 
-WINDOW, MASK, LEAST, MOST = 3, 3, 2, 64
+WINDOW, MASK, LEAST, MOST = 2, 1, 2, 64
 PRIME, WORD = 0x9E3779B97F4A7C15, 2**64 - 1
 #: Bytes of chunks that a task remembers to settle equal ones before the exchange.
 KNOWN_BYTES = 64 << 20
@@ -66,6 +68,14 @@ def pairs(text: bytes) -> list[bytes]:
     return [a + b"\n" + b for a, b in zip(lines, lines[1:], strict=False)]
 
 
+def inside(text: bytes, gone: list[int] | None) -> set[int]:
+    """The pairs within the chunks of these numbers."""
+    if not gone:
+        return set()
+    ends = chunk_ends(text.split(b"\n"))
+    return {i for k in gone for i in range(ends[k - 1] if k else 0, ends[k] - 1)}
+
+
 def covered(lines: list[bytes], again: set[int]) -> set[int]:
     """The lines of the pairs that occurred before; of a pair that overlaps its own first occurrence only the second."""
     out = {i + 1 for i in again}
@@ -150,8 +160,8 @@ def gone_chunks(rows: DataFrame, cut: Callable[[bytes], list[bytes]] = chunks) -
     return met.mapInArrow(globally, "doc_id long, rk long, n int")
 
 
-def met_again(rows: DataFrame) -> DataFrame:
-    """(doc_id, rk, n): the pairs of (doc_id, text, rk) rows whose hash occurs more than once, first ones included."""
+def met_again(rows: DataFrame, cut: Callable[[bytes], list[bytes]]) -> DataFrame:
+    """(doc_id, rk, n): the chunks or pairs of (doc_id, text, rk) rows whose hash occurs more than once, first ones included; with a column `gone`, without the pairs in those chunks, which have occurred before."""
 
     def batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
         kinds = {"h": pa.int64(), "doc_id": pa.int64(), "rk": pa.int64(), "n": pa.int32(), "again": pa.bool_()}
@@ -176,9 +186,13 @@ def met_again(rows: DataFrame) -> DataFrame:
 
         for b in batches:
             more = []
-            for doc, text, rk in zip(b[0].to_pylist(), b[1].cast(pa.binary()).to_pylist(), b[2].to_pylist(), strict=True):
-                for n, pair in enumerate(pairs(text)) if text is not None else ():
-                    h = xxh64_intdigest(pair)
+            lost = b[3].to_pylist() if len(b.columns) > 3 else [None] * len(b)
+            for doc, text, rk, gone in zip(b[0].to_pylist(), b[1].cast(pa.binary()).to_pylist(), b[2].to_pylist(), lost, strict=True):
+                settled = inside(text, gone)
+                for n, piece in enumerate(cut(text)) if text is not None else ():
+                    if n in settled or b"\n" not in piece:
+                        continue
+                    h = xxh64_intdigest(piece)
                     if known.setdefault(h, (doc, rk, n)) != (doc, rk, n):
                         twice.add(h)
                         more.append((rk, doc, rk, n, None))
@@ -212,9 +226,9 @@ def met_again(rows: DataFrame) -> DataFrame:
 
 
 def numbered(rows: DataFrame, found: DataFrame, name: str, how: str) -> DataFrame:
-    """(doc_id, text, rk, name): rows with their numbers n of found."""
+    """rows with their numbers n of found, as `name`."""
     sets = found.groupBy("doc_id", "rk").agg(F.collect_set("n").alias(name)).select(F.col("doc_id").alias("__id"), F.col("rk").alias("__rk"), name)
-    return rows.join(sets.hint("shuffle_hash"), (F.col("rk") == F.col("__rk")) & F.col("doc_id").eqNullSafe(F.col("__id")), how).select("doc_id", "text", "rk", name)
+    return rows.join(sets.hint("shuffle_hash"), (F.col("rk") == F.col("__rk")) & F.col("doc_id").eqNullSafe(F.col("__id")), how).select(*rows.columns, name)
 
 
 def hashed(docs: DataFrame) -> DataFrame:
@@ -231,20 +245,22 @@ def dedup_runs(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for doc, text, again in zip(b[0].to_pylist(), b[1].cast(pa.binary()).to_pylist(), b[2].to_pylist(), strict=True):
+            for doc, text, gone, again in zip(b[0].to_pylist(), b[1].cast(pa.binary()).to_pylist(), b[2].to_pylist(), b[3].to_pylist(), strict=True):
                 if text is None:
                     out.append((doc, 0, 0, 0, 0, None))
                     continue
                 lines = text.split(b"\n")
-                lost = covered(lines, set(again or ()))
+                lost = covered(lines, inside(text, gone).union(again or ()))
                 begins = [i for i in range(len(lines)) if i == 0 or (i in lost) != (i - 1 in lost)]
                 kept = b"\n".join(x for i, x in enumerate(lines) if i not in lost) if lost else text
                 out.append((doc, len(lines), len(begins), sum(i in lost for i in begins), len(lost), kept.decode()))
             yield batch_of(out)
 
     rows = hashed(docs)
-    gone = gone_chunks(numbered(rows, met_again(rows), "some", "inner"), pairs)
-    return numbered(rows, gone, "gone", "left").drop("rk").mapInArrow(run, OUT)
+    gone = materialize(gone_chunks(numbered(rows, met_again(rows, chunks), "some", "inner")), "gone-chunks")
+    rest = numbered(rows, gone, "gone", "left")
+    again = gone_chunks(numbered(rows, met_again(rest, pairs), "some", "inner"), pairs)
+    return numbered(rest, again, "again", "left").drop("rk").mapInArrow(run, OUT)
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -265,7 +281,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
             yield batch_of(out)
 
     rows = hashed(docs)
-    return numbered(rows, gone_chunks(rows), "gone", "left").drop("rk").mapInArrow(run, OUT)
+    gone = gone_chunks(numbered(rows, met_again(rows, chunks), "some", "inner"))
+    return numbered(rows, gone, "gone", "left").drop("rk").mapInArrow(run, OUT)
 
 
 OUT = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "n_lines", "n_chunks", "removed_chunks", "removed_lines")] + [T.StructField("text", T.StringType())])
