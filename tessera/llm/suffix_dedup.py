@@ -1,7 +1,7 @@
 """Suffix-array dedup: removal of every byte that a repeated string of `length` bytes covers (operator 8).
 
 Bringing repeats together. Every window of `length` bytes holds the hashes of length - GRAM + 1 grams; the least
-of them (the rightmost of equal ones) is the window's anchor. Equal windows have equal anchors at the same place,
+of them, equal ones all, are the window's anchors. Equal windows have equal anchors at the same places,
 so only anchors that occur twice can be of repeated windows; they are found by a narrow exchange on the anchor's
 hash. Each such anchor's surroundings (all windows around it) then meet those of equal anchors.
 
@@ -56,23 +56,26 @@ def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(buf)))))
     h = mixed((prefix[gram:] - prefix[:-gram]) * powers(INVERSE, len(buf) + 1)[: len(buf) - gram + 1], 9)
-    bits = np.uint64(max(1, int(len(buf)).bit_length()))
-    low = (np.uint64(1) << bits) - np.uint64(1)
-    ordered = (h & ~low) | (low - np.arange(len(h), dtype=np.uint64))
-    width, least = 1, ordered
     wide = length - gram + 1
-    while 2 * width <= wide:
-        least = np.minimum(least[:-width], least[width:])
-        width *= 2
-    least = np.minimum(least[: len(ordered) - wide + 1], least[wide - width :][: len(ordered) - wide + 1])
     inside = np.repeat(ends, sizes)[:n] >= np.arange(n) + length
-    least = least[:n][inside]
-    at = (low - (np.unique(least) & low)).astype(np.int64)
-    at.sort()
+    least = np.where(inside, sliding(np.minimum, h, wide), np.uint64(0))
+    # a gram is an anchor if it is the least, by its whole hash, of some window that holds it
+    edge = np.zeros(wide - 1, np.uint64)
+    most = sliding(np.maximum, np.concatenate((edge, least, edge)), wide)
+    at = np.flatnonzero((most == h) & (most > 0))
     of = np.searchsorted(ends, at, "right")
     return of, at - (ends[of] - sizes[of]), h[at]
 
 
+def sliding(pick: np.ufunc, x: np.ndarray, width: int) -> np.ndarray:
+    """pick over each `width` neighbours."""
+    n, size = len(x) - width + 1, 1
+    while 2 * size <= width:
+        x = pick(x[:-size], x[size:])
+        size *= 2
+    return pick(x[:n], x[width - size :][:n])
+
+
 def in_parts(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
     begin, total = 0, 0
     for i, t in enumerate(texts):
