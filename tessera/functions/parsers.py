@@ -81,7 +81,7 @@ def parse_education(raw: Column, strict: bool = False) -> Column:
 
 def parse_experience(raw: Column) -> Column:
     """Least years asked for; months are rounded to years, fewer than six to none."""
-    text = F.trim(raw)
+    text = F.regexp_replace(raw, r"(?U)^\s+|\s+$", "")
     years, months = F.regexp_extract(text, YEARS, 1), F.regexp_extract(text, MONTHS, 1).try_cast("int")
     return (
         F.when(text.rlike(FRESH), 0)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -121,5 +122,20 @@ def mode_first(df: DataFrame, keys: Sequence[str], value: str, order: str) -> Da
 
 
 def page(df: DataFrame, order: Sequence[Column], number: int, size: int = 20) -> DataFrame:
-    """A page of ordered rows, from 1; numbers beyond the last give no rows, below 1 the first."""
-    return df.orderBy(*order).offset((max(1, number) - 1) * size).limit(size)
+    """A page of ordered rows, from 1; numbers beyond the last give the last page, below 1 the first."""
+    last = max(1, -(-df.count() // size))
+    return df.orderBy(*order).offset((min(max(1, number), last) - 1) * size).limit(size)
+
+
+def until_first(df: DataFrame, group: Sequence[str], order: str, bad: Column) -> DataFrame:
+    """Rows of each group before its first bad one, which is left out too: one minimum a group, and no group is sorted."""
+    ends = df.filter(bad).groupBy(*group).agg(F.min(order).alias("__end")).select(*(F.col(c).alias(f"__g_{c}") for c in group), "__end")
+    same = [F.col(c).eqNullSafe(F.col(f"__g_{c}")) for c in group]
+    met = df.join(ends, reduce(lambda x, y: x & y, same), "left")
+    return met.filter(F.col("__end").isNull() | (F.col(order) < F.col("__end"))).select(*df.columns)
+
+
+def sorted_by(df: DataFrame, how: str, tie: str = "id") -> DataFrame:
+    """Vacancies by a named order: newest seen, highest salary (none counts as 0), most sources, or least sure (no confidence counts as 1)."""
+    orders = {"new": F.desc_nulls_last("last_seen"), "salary": F.coalesce("salary_max", F.lit(0)).desc(), "sources": F.desc_nulls_last("n_sources"), "confidence": F.coalesce("confidence", F.lit(1.0)).asc()}
+    return df.orderBy(orders[how], tie)

@@ -107,7 +107,7 @@ def mart_ops_runs(t):
 
 
 @query(f"""WITH v AS ({SQL_V}) SELECT 'v' || left(sha1(CAST(id AS VARCHAR)), 10) AS id, CASE WHEN province_code IS NULL THEN NULL ELSE upper(left(province_code, 1)) || lower(substr(province_code, 2)) END AS region_name,
-(SELECT string_agg(CAST(l_partkey AS VARCHAR), '; ' ORDER BY l_linenumber, l_partkey) FROM lineitem WHERE l_orderkey = v.id AND l_linenumber <= 3) AS skills FROM v WHERE id % 10 = 0""")
+k.skills FROM v LEFT JOIN (SELECT l_orderkey, string_agg(CAST(l_partkey AS VARCHAR), '; ' ORDER BY l_linenumber, l_partkey) AS skills FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS n FROM lineitem) WHERE n <= 8 GROUP BY 1) k ON k.l_orderkey = v.id""")
 def flat_export(t):
     v = _vacancies(t)
     # a record keeps up to 8 skills, as in publish.records

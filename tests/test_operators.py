@@ -175,3 +175,18 @@ def test_stream_lands_once(spark, tmp_path):
     run()
     run()
     assert sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/out/1").collect()) == [("a", 1), ("b", 2), ("c", 2)]
+
+
+def test_pages_sorts_and_date_stop(spark):
+    from tessera.functions.parsers import parse_experience
+    from tessera.operators import relational as R
+
+    df = spark.range(45).withColumnRenamed("id", "n")
+    at = lambda k: [r["n"] for r in R.page(df, [F.col("n")], k).collect()]
+    assert at(0) == at(1) == list(range(20)) and at(3) == at(9) == list(range(40, 45)) and R.page(df.limit(0), [F.col("n")], 2).count() == 0
+    rows = spark.createDataFrame([("a", 1, False), ("a", 2, True), ("a", 3, False), ("b", 1, False), ("b", 2, None), (None, 5, True), (None, 4, False)], "s string, n int, old boolean")
+    assert sorted((str(r["s"]), r["n"]) for r in R.until_first(rows, ["s"], "n", F.col("old")).collect()) == [("None", 4), ("a", 1), ("b", 1), ("b", 2)]
+    v = spark.createDataFrame([(1, "2026-01-02", 5, 1, 0.9), (2, "2026-01-03", None, 3, None), (3, "2026-01-01", 9, 2, 0.1)], "id int, last_seen string, salary_max int, n_sources int, confidence double")
+    assert {how: [r["id"] for r in R.sorted_by(v, how).collect()] for how in ("new", "salary", "sources", "confidence")} == {"new": [2, 1, 3], "salary": [3, 1, 2], "sources": [2, 3, 1], "confidence": [3, 1, 2]}
+    said = spark.createDataFrame([("\t1",), ("1\n",), (" 2 ",)], "t string").coalesce(1)
+    assert [r[0] for r in said.select(parse_experience(F.col("t"))).collect()] == [1, 1, 2]
