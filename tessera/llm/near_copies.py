@@ -8,10 +8,12 @@ the recall asked for; pairs that are closer meet more often. A partition's bits
 of texts, so that the random pairs that a text meets in a bucket stay as many. Costs come from counts over all
 fingerprints (`simhash.meeting_chances`).
 
-Within a bucket each text proposes its nearest earlier ones within the bit limit, a few at first; pairs are verified
-by their shingle sets (as sets of 64-bit hashes) and linked. Buckets where some text had more close ones than that
-propose again, only between texts that are not connected yet, more in the second round, and all in the last: no close
-pair between different components stays untested, and yet a group of copies never sends all its pairs.
+Within a bucket each text proposes its nearest earlier ones within the bit limit, a few at first. Of what is proposed
+for a text the nearest are verified first, by their shingle sets (as sets of 64-bit hashes), and linked; what the links
+have connected by then needs no test any more; then more of the rest, then all of it. Buckets where some text had more
+close ones than it proposed propose again, only between texts that are not connected yet, more in the second round, and
+all in the last. So no close pair between different components stays untested, and yet a group of copies never sends or
+tests all its pairs.
 
 Texts travel as numbers of distinct texts; equal texts are one. Defined cases: null reads as empty; texts without
 words are alike; repeated rows share a text; an empty table gives an empty result.
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import discard, materialize, partitions
@@ -35,8 +37,8 @@ from tessera.llm.simhash import PAIR_COST, ROW_COST, bit_counts, grouped_bits, m
 
 #: Random texts that share a bucket with a text, about; thresholds that a partition may get.
 IN_BUCKET, MOST = 32, 1
-#: Close earlier texts that each text of a bucket proposes in the rounds.
-ROUNDS = (12, 64, None)
+#: Close earlier texts that each text of a bucket proposes in the rounds, and of these for a text, how many are verified in turn.
+ROUNDS, TURNS = (4, 64, None), (2, 12, None)
 #: Fingerprint bits may differ by so many standard deviations more than expected at the least resemblance.
 DEVIATIONS = 3.3
 
@@ -146,11 +148,11 @@ def distances(f: np.ndarray, rows: slice) -> np.ndarray:
     return out
 
 
-def proposals(f: np.ndarray, roots: np.ndarray | None, limit: int, most: int | None) -> tuple[np.ndarray, np.ndarray, bool]:
-    """(earlier, later) pairs within limit, of different roots if given: of each text the `most` nearest earlier ones; and whether any were left out."""
+def proposals(f: np.ndarray, roots: np.ndarray | None, limit: int, most: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
+    """(earlier, later, differing bits) of pairs within limit, of different roots if given: of each text the `most` nearest earlier ones; and whether any were left out."""
     m = len(f)
     step = max(1, (1 << 20) // m)
-    first, second, more = [], [], False
+    first, second, apart, more = [], [], [], False
     for at in range(0, m, step):
         d = distances(f, slice(at, at + step))
         i = np.arange(at, min(at + step, m))
@@ -166,34 +168,37 @@ def proposals(f: np.ndarray, roots: np.ndarray | None, limit: int, most: int | N
         x, y = np.nonzero(close)
         first.append(y)
         second.append(x + at)
-    return np.concatenate(first), np.concatenate(second), more
+        apart.append(d[x, y].astype(np.int64))
+    return np.concatenate(first), np.concatenate(second), np.concatenate(apart), more
 
 
 def proposed(met: DataFrame, limit: int, words64: int, most: int | None) -> DataFrame:
-    """(a, b, k, f0 ...): pairs (k null), and the texts (b null) of buckets where some text had more close ones than it proposes."""
+    """(a, b, d, k, f0 ...): pairs and the bits in which they differ (k null), and the texts (b null) of buckets where some text had more close ones than it proposes."""
     rooted = "root" in met.columns
-    names = ["a", "b", "k", *(f"f{i}" for i in range(words64))]
+    names = ["a", "b", "d", "k", *(f"f{i}" for i in range(words64))]
 
     def told(k: np.ndarray, ids: np.ndarray, f: np.ndarray, roots: np.ndarray | None) -> Iterator[pa.RecordBatch]:
         begins = np.concatenate(([0], np.flatnonzero(k[1:] != k[:-1]) + 1, [len(k)]))
-        a, b, again = [], [], []
+        a, b, apart, again = [], [], [], []
         for g in np.flatnonzero(np.diff(begins) > 1).tolist():
             s, e = int(begins[g]), int(begins[g + 1])
-            x, y, more = proposals(f[s:e], None if roots is None else roots[s:e], limit, most)
+            x, y, d, more = proposals(f[s:e], None if roots is None else roots[s:e], limit, most)
             if len(x):
                 a.append(ids[s:e][x])
                 b.append(ids[s:e][y])
+                apart.append(d)
             if more:
                 again.append(np.arange(s, e))
         if a:
             a, b = np.concatenate(a), np.concatenate(b)
             low, high = np.minimum(a, b), np.maximum(a, b)
-            pairs = np.unique(np.stack((low, high), 1)[low != high], axis=0)
+            pairs = np.unique(np.stack((low, high, np.concatenate(apart)), 1)[low != high], axis=0)
             none = pa.nulls(len(pairs), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1])), *[none] * (1 + words64)], names=names)
+            yield pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(pairs[:, i])) for i in range(3)), *[none] * (1 + words64)], names=names)
         if again:
             at = np.concatenate(again)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.nulls(len(at), pa.int64()), pa.array(k[at]), *(pa.array(np.ascontiguousarray(f[at, w]).view(np.int64)) for w in range(words64))], names=names)
+            none = pa.nulls(len(at), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(ids[at]), none, none, pa.array(k[at]), *(pa.array(np.ascontiguousarray(f[at, w]).view(np.int64)) for w in range(words64))], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -253,24 +258,37 @@ def near_copies(docs: DataFrame, key: str, text: str, size: int = 5, words64: in
     limit = math.ceil(bits * differ + DEVIATIONS * math.sqrt(bits * differ * (1 - differ)))
     first = materialize(proposed(buckets(distinct, index, words64), limit, words64, ROUNDS[0]), "near-proposed")
     hot = first.filter("b is null").select("k", F.col("a").alias("id"), *(f"f{i}" for i in range(words64)))
-    pairs = first.filter("b is not null").select("a", "b").distinct()
     # the shingle sets of the texts that are or may be compared
     needed = first.select(F.col("a").alias("id")).union(first.filter("b is not null").select("b")).distinct().join(distinct.select("id", "least"), "id")
     texts = needed.withColumnRenamed("least", "__least").join(source.select(F.col(key).alias("__least"), F.col(text).alias("__text")), "__least").groupBy("id").agg(F.first(F.coalesce("__text", F.lit(""))).alias("__text"))
     shingled = materialize(texts.mapInArrow(sets, "id long, shingles binary"), "near-shingles")
     tested = roots = None
-    for most in ROUNDS[1:] + (0,):
-        joined = pairs.join(shingled.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(shingled.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
-        now = materialize(joined.mapInArrow(verified, "a long, b long, ok boolean"), "near-tested")
-        tested = now if tested is None else tested.unionByName(now)
-        roots = components(tested.filter("ok").select("a", "b"))
-        if most == 0 or hot.isEmpty():
-            break
-        met = hot.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("k", "id", *(f"f{i}" for i in range(words64)), F.coalesce("root", "id").alias("root"))
-        more = proposed(met, limit, words64, most).filter("b is not null").select("a", "b").distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = materialize(more, "near-proposed")
-        if pairs.isEmpty():
-            break
+
+    def rooted(c: str) -> DataFrame:
+        return roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+
+    for most in ROUNDS:
+        found = first
+        if tested is not None:
+            if hot.isEmpty():
+                break
+            met = hot.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("k", "id", *(f"f{i}" for i in range(words64)), F.coalesce("root", "id").alias("root"))
+            found = materialize(proposed(met, limit, words64, most), "near-proposed")
+        pool = found.filter("b is not null").select("a", "b", "d").distinct()
+        for turn in TURNS:
+            left = pool
+            if tested is not None:
+                apart = pool.join(rooted("a"), "a", "left").join(rooted("b"), "b", "left").filter(F.coalesce("a_root", "a") != F.coalesce("b_root", "b"))
+                left = apart.select("a", "b", "d").join(tested.select("a", "b"), ["a", "b"], "left_anti")
+            if turn:
+                left = left.withColumn("nth", F.row_number().over(Window.partitionBy("b").orderBy("d", "a"))).filter(F.col("nth") <= turn)
+            joined = left.select("a", "b").join(shingled.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(shingled.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
+            now = materialize(joined.mapInArrow(verified, "a long, b long, ok boolean"), "near-tested")
+            if tested is not None and now.isEmpty():
+                break
+            tested = now if tested is None else tested.unionByName(now)
+            if roots is None or not now.filter("ok").isEmpty():
+                roots = components(tested.filter("ok").select("a", "b"))
     # roots are numbers of texts; a component is named by the smallest key of its texts
     least = roots.join(distinct.select(F.col("id").alias("node"), "least"), "node").groupBy("root").agg(F.min("least").alias("component"))
     moved = roots.join(least, "root").select(F.col("node").alias("id"), "component")
