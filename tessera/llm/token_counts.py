@@ -13,8 +13,13 @@ A pair of characters that no piece holds cuts all ties: what follows depends on
 space only at their beginning, so texts are cut into chunks before spaces. Every chunk's state map then leads
 from any state to the same state, and its composition with others, a parallel prefix scan, adds counts: a
 cumulative sum over the chunks of a batch, taken apart at the documents' ends. Chunks met before are looked up.
+Long chunks are cut further wherever no piece holds the two characters on both sides. What still is long without such
+a place is read in segments, whose state maps (from a state to the state behind and the tokens added) are filled in
+where they are entered, kept, and composed one after the other.
 
-Defined cases: null reads as the empty text, which has no tokens; very long texts and chunks stream through.
+Defined cases: null reads as the empty text, which has no tokens; very long texts and chunks stream through, and what
+is compiled is dropped in the midst of a chunk too, where only the state that it is in goes on. Other columns are not
+read, whatever their names; rows of one id are counted each; key columns of any type pass through.
 """
 
 from __future__ import annotations
@@ -31,8 +36,10 @@ from pyspark.sql import types as T
 SPACE = "▁"
 #: Bounds of what a worker keeps: chunks, compiled transitions, checked pairs. Beyond, it is dropped and compiled again.
 MAX_CHUNKS, MAX_STEPS, MAX_PAIRS = 400_000, 1_500_000, 1_000_000
-#: Longer chunks are not kept.
+#: Longer chunks are cut wherever they can be, and not kept.
 MAX_CHUNK = 48
+#: Characters of a segment, and state maps' entries that are kept.
+SEGMENT, MAX_MAPS = 1024, 2000
 
 
 class Transducer:
@@ -53,6 +60,20 @@ class Transducer:
         self.keys: list[tuple] = [("", ((None, 0),))]
         self.steps: list[dict[str, tuple[int, int]]] = [{}]
         self.n_steps = 0
+        self.maps: dict[tuple[str, int], tuple[int, int]] = {}
+
+    def number(self, key: tuple) -> int:
+        if (to := self.states.get(key)) is None:
+            to = self.states[key] = len(self.keys)
+            self.keys.append(key)
+            self.steps.append({})
+        return to
+
+    def restart(self, state: int) -> int:
+        """Drop what is compiled, but for the state that the text is in; its new number."""
+        key = self.keys[state]
+        self.reset()
+        return self.number(key)
 
     def merge(self, text: str) -> list[str]:
         """The merge rule itself, for pieces and pairs of pieces."""
@@ -98,25 +119,53 @@ class Transducer:
             kept = [(last, n - added) for last, n in ends] + [(piece, 0)]
             kept = kept[first:]
             kept = [(None if last and k + first < len(longer) and last[-1] + longer[k + first] not in self.joined else last, n) for k, (last, n) in enumerate(kept)]
-            key = (longer[first:], tuple(kept))
-            if (to := self.states.get(key)) is None:
-                to = self.states[key] = len(self.keys)
-                self.keys.append(key)
-                self.steps.append({})
-            step = (to, added)
+            step = (self.number((longer[first:], tuple(kept))), added)
         self.steps[state][c] = step
         self.n_steps += 1
         return step
 
-    def count(self, chunk: str) -> int:
-        """Tokens of a chunk that stands at the beginning or behind a cut."""
-        if self.n_steps > MAX_STEPS or len(self.pairs) > MAX_PAIRS:
-            self.reset()
-        steps, state, total = self.steps, 0, 0
-        for c in chunk:
-            step = steps[state].get(c) or self.compile(state, c)
+    def walk(self, state: int, text: str) -> tuple[int, int]:
+        """The state behind text, and the tokens that it adds."""
+        steps, total = self.steps, 0
+        for c in text:
+            if (step := steps[state].get(c)) is None:
+                if self.n_steps >= MAX_STEPS or len(self.pairs) >= MAX_PAIRS:
+                    state = self.restart(state)
+                    steps = self.steps
+                step = self.compile(state, c)
             state = step[0]
             total += step[1]
+        return state, total
+
+    def mapped(self, state: int, segment: str) -> tuple[int, int]:
+        """The segment's state map at a state."""
+        if (found := self.maps.get((segment, state))) is None:
+            maps = self.maps
+            found = self.walk(state, segment)
+            # a restart on the way has given the states other numbers
+            if maps is self.maps:
+                if len(maps) >= MAX_MAPS:
+                    maps.clear()
+                maps[segment, state] = found
+        return found
+
+    def cut(self, chunk: str) -> Iterator[str]:
+        """Parts of a chunk between which no piece can reach."""
+        begin = 0
+        for i in range(1, len(chunk)):
+            if chunk[i - 1 : i + 1] not in self.joined:
+                yield chunk[begin:i]
+                begin = i
+        yield chunk[begin:]
+
+    def count(self, chunk: str) -> int:
+        """Tokens of a chunk that stands at the beginning or behind a cut."""
+        if len(chunk) <= SEGMENT:
+            return self.walk(0, chunk)[1]
+        state, total = 0, 0
+        for at in range(0, len(chunk), SEGMENT):
+            state, n = self.mapped(state, chunk[at : at + SEGMENT])
+            total += n
         return total
 
 
@@ -128,9 +177,9 @@ class ChunkCounts(dict):
         self.transducer = transducer
 
     def __missing__(self, word: str) -> int:
-        n = self.transducer.count(SPACE + word)
-        if len(word) <= MAX_CHUNK:
-            self[word] = n
+        if len(word) > MAX_CHUNK:
+            return sum(map(self.transducer.count, self.transducer.cut(SPACE + word)))
+        n = self[word] = self.transducer.count(SPACE + word)
         return n
 
 
