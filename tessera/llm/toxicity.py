@@ -38,7 +38,9 @@ from tessera.llm.common import materialize
 SAMPLE, SEED = 4000, 5
 #: Least log-likelihood ratio (G squared) and least documents of a lexicon word.
 LEAST_G, LEAST_DOCUMENTS = 14.0, 3
-PIECE, STEPS, GAPS = 64, 80, 512
+PIECE, STEPS = 64, 80
+#: Gaps up to so many words have their matrix power ready.
+GAPS = 512
 #: Training pieces whose marginals are held at once.
 PIECES_AT_ONCE = 2048
 
@@ -132,33 +134,48 @@ class Tagger:
             now = now / now.sum()
             powers.append(now)
         self.powers = np.array(powers)
+        self.doubled = [self.powers[GAPS]]
+
+    def power(self, gap: int) -> np.ndarray:
+        """The chain through a gap, up to a factor; beyond GAPS words by repeated squaring."""
+        if gap <= GAPS:
+            return self.powers[gap]
+        out, times = self.powers[gap % GAPS], gap // GAPS
+        for bit in range(times.bit_length()):
+            if bit == len(self.doubled):
+                now = self.doubled[-1] @ self.doubled[-1]
+                self.doubled.append(now / now.sum())
+            if times >> bit & 1:
+                out = out @ self.doubled[bit]
+                out = out / out.sum()
+        return out
 
     def marginals(self, n: int, at: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        """Of tag 1, at the places `at` of a text of n words where lexicon words stand; gaps beyond GAPS have the power's limit."""
+        """Of tag 1, at the places `at` of a text of n words where lexicon words stand."""
         size = len(at)
         if not size:
             return np.zeros(0)
-        gaps = np.minimum(np.diff(np.concatenate(([-1], at, [n]))) - 1, GAPS)
+        gaps = (np.diff(np.concatenate(([-1], at, [n]))) - 1).tolist()
         local = np.stack((np.ones(size), np.exp(self.emit[classes])), 1)
-        m, powers = np.exp(self.move), self.powers
+        m, power = np.exp(self.move), self.power
         ahead, back = np.empty((size, 2)), np.empty((size, 2))
         # the first word of a text has no move into it: a gap of g words at the beginning is one start and g - 1 powers
         now = None
         for i in range(size):
             if i == 0:
                 if gaps[0]:
-                    now = np.array([1.0, np.exp(self.emit[0])]) @ powers[gaps[0] - 1] @ m
+                    now = np.array([1.0, np.exp(self.emit[0])]) @ power(gaps[0] - 1) @ m
                 else:
                     now = np.ones(2)
             else:
-                now = ahead[i - 1] @ powers[gaps[i]] @ m
+                now = ahead[i - 1] @ power(gaps[i]) @ m
             now = now * local[i]
             ahead[i] = now / now.sum()
-        now = powers[gaps[size]] @ np.ones(2)
+        now = power(gaps[size]) @ np.ones(2)
         for i in range(size - 1, -1, -1):
             back[i] = now / now.sum()
             if i:
-                now = powers[gaps[i]] @ (m @ (local[i] * back[i]))
+                now = power(gaps[i]) @ (m @ (local[i] * back[i]))
         post = ahead * back
         return post[:, 1] / post.sum(1)
 

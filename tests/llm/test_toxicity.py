@@ -35,6 +35,39 @@ def test_marginals_equal_enumeration():
         assert np.allclose(tagger.marginals(n, at, ids[at]), want[at])
 
 
+def test_long_gaps_are_exact():
+    """Against the chain over every word, with gaps on both sides of what is ready."""
+    rnd = np.random.default_rng(7)
+    for n, at in ((3000, [700, 1212, 2990]), (2100, [0, 513, 1026, 2099]), (1600, [1599]), (1537, [0])):
+        tagger = random_tagger(rnd)
+        tagger.move += np.array([[1.5, -1.5], [-1.5, 1.5]])  # a chain that forgets slowly
+        tagger.emit[0] = rnd.normal() * 0.01
+        tagger.prepare()
+        ids = np.zeros(n, np.int64)
+        ids[at] = rnd.integers(1, 4, len(at))
+        dense, _, _ = chain(tagger.emit, tagger.move, ids[None], np.ones((1, n), bool))
+        assert np.allclose(tagger.marginals(n, np.array(at), ids[at]), dense[0, at], atol=1e-9)
+
+
+def test_scores_against_brute_force(spark):
+    """The query's scores from plain Python: words, the chain over all of them, the document's regression."""
+    import re
+
+    _, _, docs, marks = corpus(spark, 300)
+    tagger = fit(docs, marks)
+    assert tagger.lexicon
+    for r in score(docs, tagger, spans=None).collect():
+        words = [w.encode() for w in re.findall(r"[0-9a-z\x80-\U0010ffff]+", (r["text"] or "").lower())]
+        p = np.zeros(0)
+        if words:
+            ids = np.array([[tagger.lexicon.get(w, 0) for w in words]])
+            post, _, _ = chain(tagger.emit, tagger.move, ids, np.ones(ids.shape, bool))
+            p = post[0][ids[0] > 0]
+        total, most, n = p.sum(), p.max(initial=0), len(words)
+        x = np.array([1, np.log(1 + total), most, total > 1.5, np.log(1 + n) / 10, np.log(1 + 100 * total / (n + 20))]) @ tagger.document
+        assert abs(r["score"] - 1 / (1 + np.exp(-np.clip(x, -30, 30)))) < 1e-6
+
+
 def corpus(spark, n=900):
     rnd = random.Random(6)
     rows, labels = [], []
