@@ -33,6 +33,12 @@ def regency_kind(name: Column) -> Column:
     return F.when(F.upper(name).rlike(r"^KOTA[ .]"), "kota").when(F.upper(name).rlike(r"^(KAB[. ]|KABUPATEN )"), "kab")
 
 
+def regions(provinces: DataFrame, regencies: DataFrame) -> DataFrame:
+    """(region_code, name, level, kind, province_code) from two code lists: provinces (code, name), regencies (code, name, parent)."""
+    top = provinces.select(F.col("code").alias("region_code"), "name", F.lit("province").alias("level"), F.lit(None).cast("string").alias("kind"), F.col("code").alias("province_code"))
+    return top.unionByName(regencies.select(F.col("code").alias("region_code"), "name", F.lit("regency").alias("level"), regency_kind(F.col("name")).alias("kind"), F.col("parent").alias("province_code")))
+
+
 def build(regions: DataFrame, aliases: DataFrame) -> DataFrame:
     """(key, alias, full, province, bare): codes by key; bare: sorted array of (code, its province).
 

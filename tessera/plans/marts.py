@@ -137,3 +137,29 @@ def facets(df: DataFrame, keyword: str | None = None, texts: list[str] | None =
     for c, value in (at_least or {}).items():
         df = df.filter(F.col(c) >= value)
     return df
+
+
+#: Statuses of a run that gave rows.
+RAN = ("success", "partial")
+
+
+def last_runs(runs: DataFrame, most: int = 14) -> DataFrame:
+    """(source, nth, started_at, status, n_saved, n_errors, error_type) of each source's last runs, the newest first."""
+    newest = Window.partitionBy("source").orderBy(F.desc("started_at"), F.desc("run_id"))
+    return runs.withColumn("nth", F.row_number().over(newest)).filter(F.col("nth") <= most).select("source", "nth", "started_at", "status", "n_saved", "n_errors", "error_type")
+
+
+def sources_state(runs: DataFrame, enabled: DataFrame, vacancies: DataFrame) -> DataFrame:
+    """(sources_ok, sources_total): enabled sources that ever ran, and those whose last run gave rows; without any, all sources of vacancies."""
+    last = last_runs(runs, 1).join(enabled.select("source"), "source", "left_semi").agg(F.count_if(F.col("status").isin(*RAN)).alias("ok"), F.count(F.lit(1)).alias("ran"))
+    have = vacancies.agg(F.count_distinct("source").alias("have"))
+    ok_of_all = vacancies.select("source").distinct().join(last_runs(runs, 1).filter(F.col("status").isin(*RAN)).select("source"), "source", "left_semi").agg(F.count(F.lit(1)).alias("ok_of_all"))
+    one = last.crossJoin(have).crossJoin(ok_of_all)  # one row each
+    return one.select(F.when(F.col("ran") > 0, F.col("ok")).otherwise(F.col("ok_of_all")).alias("sources_ok"), F.when(F.col("ran") > 0, F.col("ran")).otherwise(F.col("have")).alias("sources_total"))
+
+
+def review_state(coded: DataFrame, bins: int = 10) -> DataFrame:
+    """(classified, needs_review, confidence_histogram) of coded rows; the histogram is an array of counts by tenth."""
+    sure = F.coalesce("confidence", "confidence4")
+    tenth = F.least(F.floor(sure * bins), F.lit(bins - 1))
+    return coded.agg(F.count(F.lit(1)).alias("classified"), F.count_if("needs_review").alias("needs_review"), F.array(*(F.count_if(tenth == i) for i in range(bins))).alias("confidence_histogram"))

@@ -70,6 +70,27 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True, escape='"')
 
 
+def markdown(sections: dict[str, DataFrame]) -> DataFrame:
+    """(at, nth, line) of a Markdown report: a heading and a table of (nth, metric, value) rows a section."""
+    out = None
+    for at, (title, rows) in enumerate(sections.items()):
+        head = rows.sparkSession.range(1).select(F.lit(at).alias("at"), F.lit(-1).alias("nth"), F.lit(f"## {title}\n\n| Metric | Value |\n|---|---|").alias("line"))
+        part = head.unionByName(rows.select(F.lit(at).alias("at"), "nth", F.concat(F.lit("| "), "metric", F.lit(" | "), "value", F.lit(" |")).alias("line")))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def write_markdown(lines: DataFrame, path: str, title: str) -> None:
+    """One text of the lines in order (a report is bounded by its sections and sources)."""
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "nth", "line"))), lambda x: F.concat(F.when((x["nth"] < 0) & (x["at"] > 0), "\n").otherwise(F.lit("")), x["line"])), "\n")
+    lines.agg(F.concat(F.lit(f"# {title}\n\n"), body).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
+def write_review(pairs: DataFrame, path: str, order: list[str]) -> None:
+    """A sheet for people: one CSV file in order, with an empty label column at the end."""
+    pairs.withColumn("label", F.lit("")).orderBy(*order).coalesce(1).write.mode("overwrite").csv(path, header=True, escape='"')
+
+
 def rupiah(value: Column) -> Column:
     """Millions with one decimal below ten, in Indonesian notation."""
     v = value / 1e6
