@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import gazetteer
+from tessera.operators.graph import written
 from tessera.plans import runs
 from tessera.plans.ingest import clean
 from tessera.queries import query
@@ -121,7 +122,7 @@ def source_run(t):
     read = lambda df: pages.structured(df, job_id=pages.id_from_url(F.col("url"), r"/o(\d+)$"))
     stored = _postings(t)
     today, now, before = F.lit("1998-08-02").cast("date"), F.lit("1998-08-02T07:00:00+07:00"), F.lit("1998-08-01T07:00:00+07:00")
-    old = clean(read(stored.filter("k % 17 = 0")).filter("error IS NULL"), "x", before, KEY).withColumns({"first_fetched_at": before, "vacancy_id": F.lit(None).cast("string")})
+    old = written(clean(read(stored.filter("k % 17 = 0")).filter("error IS NULL"), "x", before, KEY).withColumns({"first_fetched_at": before, "vacancy_id": F.lit(None).cast("string")}))
     listed = stored.select(F.col("k").alias("nth"), "url", F.col("k").cast("string").alias("source_job_id"))
     fetch = lambda df: df.join(stored, "url").select("url", F.when(F.col("k") % 11 != 0, F.col("body")).alias("body"), F.when(F.col("k") % 11 == 0, "fetch_failed: 503").alias("error"))
     landed = runs.run_source(listed, old, fetch, read, "x", today, now, LIMITS, KEY)
