@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import table, unsigned_crc32
+from tessera.llm.concurrency import open_sales, sweep
 from tessera.llm.decontamination import digest, matches
 from tessera.llm.line_dedup import dedup_runs
 from tessera.llm.mixing import cycle_quotas, mix, word_count
@@ -74,8 +75,13 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records(table(spark, sf_dir, "documents"), default_ranks())
 
 
+def op13_peak_concurrency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = open_sales(*(table(spark, sf_dir, t) for t in ("sales", "sale_lines", "clients")))
+    return sweep(spans).select(F.col("key").alias("nation_id"), "from_s", "to_s", "n_open", F.col("open_amount").alias("open_cents"), "high_open", "is_peak")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_line_dedup": op1_line_dedup, "op2_mixing": op2_mixing, "op3_simhash": op3_simhash, "op4_decontamination": op4_decontamination, "op5_toxicity": op5_toxicity, "op6_sharding": op6_sharding, "op7_fingerprints": op7_fingerprints, "op8_suffix_dedup": op8_suffix_dedup, "op9_token_counts": op9_token_counts, "op10_token_store": op10_token_store}
+    return {"op1_line_dedup": op1_line_dedup, "op2_mixing": op2_mixing, "op3_simhash": op3_simhash, "op4_decontamination": op4_decontamination, "op5_toxicity": op5_toxicity, "op6_sharding": op6_sharding, "op7_fingerprints": op7_fingerprints, "op8_suffix_dedup": op8_suffix_dedup, "op9_token_counts": op9_token_counts, "op10_token_store": op10_token_store, "op13_peak_concurrency": op13_peak_concurrency}
 
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -93,5 +99,19 @@ items AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids FR
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, hit.n IS NOT NULL AS contaminated FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)"""
 
 
+#: All moments of a nation in one running sum.
+OP13_SQL = """WITH shipped AS (SELECT sale_id, max(shipped_at) AS s FROM sale_lines WHERE shipped_at IS NOT NULL GROUP BY 1),
+nations AS (SELECT client_id, min(nation_id) AS nation FROM clients GROUP BY 1),
+spans AS (SELECT coalesce(nation, -1) AS nation_id, 60 * CAST(floor(epoch(sold_at) / 60) AS BIGINT) AS a, 60 * CAST(floor(epoch(s) / 60) AS BIGINT) + 604800 AS b, coalesce(CAST(floor(100 * total + 0.5) AS BIGINT), 0) AS cents
+  FROM sales LEFT JOIN shipped USING (sale_id) LEFT JOIN nations USING (client_id) WHERE sold_at IS NOT NULL),
+kept AS (SELECT * FROM spans WHERE b IS NULL OR b > a),
+doubled AS (SELECT * FROM kept UNION ALL SELECT -2, a, b, cents FROM kept),
+moves AS (SELECT nation_id, a AS t, 1 AS n, cents FROM doubled UNION ALL SELECT nation_id, b, -1, -cents FROM doubled WHERE b IS NOT NULL),
+moments AS (SELECT nation_id, t, sum(n) AS n, sum(cents) AS cents FROM moves GROUP BY 1, 2 HAVING sum(n) <> 0 OR sum(cents) <> 0),
+swept AS (SELECT nation_id, t, lead(t) OVER w AS to_s, sum(n) OVER w AS n_open, sum(cents) OVER w AS open_cents FROM moments WINDOW w AS (PARTITION BY nation_id ORDER BY t))
+SELECT CAST(nation_id AS INTEGER) AS nation_id, t AS from_s, to_s, CAST(n_open AS BIGINT) AS n_open, CAST(open_cents AS BIGINT) AS open_cents,
+  CAST(max(n_open) OVER (PARTITION BY nation_id ORDER BY t) AS BIGINT) AS high_open, n_open = max(n_open) OVER (PARTITION BY nation_id) AS is_peak FROM swept"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontamination": OP4_SQL}
+    return {"op4_decontamination": OP4_SQL, "op13_peak_concurrency": OP13_SQL}
