@@ -15,6 +15,7 @@ from tessera.llm.mixing import cycle_quotas, mix, word_count
 from tessera.llm.sharding import shard_records
 from tessera.llm.simhash import near_duplicates
 from tessera.llm.sketches import edited_likeness
+from tessera.llm.spelling import variants, word_counts
 from tessera.llm.suffix_dedup import digest as repeats_digest
 from tessera.llm.token_counts import count_tokens, default_model
 from tessera.llm.token_store import default_ranks, records
@@ -75,13 +76,17 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records(table(spark, sf_dir, "documents"), default_ranks())
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(word_counts(table(spark, sf_dir, "documents"), slip_every=199))
+
+
 def op13_peak_concurrency(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = open_sales(*(table(spark, sf_dir, t) for t in ("sales", "sale_lines", "clients")))
     return sweep(spans).select(F.col("key").alias("nation_id"), "from_s", "to_s", "n_open", F.col("open_amount").alias("open_cents"), "high_open", "is_peak")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_line_dedup": op1_line_dedup, "op2_mixing": op2_mixing, "op3_simhash": op3_simhash, "op4_decontamination": op4_decontamination, "op5_toxicity": op5_toxicity, "op6_sharding": op6_sharding, "op7_fingerprints": op7_fingerprints, "op8_suffix_dedup": op8_suffix_dedup, "op9_token_counts": op9_token_counts, "op10_token_store": op10_token_store, "op13_peak_concurrency": op13_peak_concurrency}
+    return {"op1_line_dedup": op1_line_dedup, "op2_mixing": op2_mixing, "op3_simhash": op3_simhash, "op4_decontamination": op4_decontamination, "op5_toxicity": op5_toxicity, "op6_sharding": op6_sharding, "op7_fingerprints": op7_fingerprints, "op8_suffix_dedup": op8_suffix_dedup, "op9_token_counts": op9_token_counts, "op10_token_store": op10_token_store, "op12_spelling_variants": op12_spelling_variants, "op13_peak_concurrency": op13_peak_concurrency}
 
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -99,6 +104,19 @@ items AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids FR
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, hit.n IS NOT NULL AS contaminated FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)"""
 
 
+#: The crc32 by its table of bytes; near words by what they share without one letter, at one place or as a word.
+OP12_SQL = f"""WITH RECURSIVE bytes AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS crc FROM range(256) AS r(i)),
+runs AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS w FROM documents) WHERE length(w) >= 6 GROUP BY 1, 2),
+hexed AS (SELECT w, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w)) AS x FROM runs),
+hashed AS (SELECT w, n, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(x), 2), lambda p: CAST('0x' || substr(x, p, 2) AS BIGINT))), lambda c, b: xor(c >> 8, crc[xor(c & 255, b) + 1])), 4294967295) AS h FROM hexed, bytes),
+words AS (SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS w, n FROM hashed),
+v AS (SELECT w, CAST(sum(n) AS BIGINT) AS n FROM words WHERE length(w) >= 6 GROUP BY w HAVING sum(n) >= 5),
+less AS (SELECT w, i, substr(w, 1, i - 1) || substr(w, i + 1) AS d FROM (SELECT w, unnest(range(1, length(w) + 1)) AS i FROM v)),
+near AS (SELECT a.w, b.w AS o FROM less a JOIN less b ON a.d = b.d AND a.i = b.i AND a.w <> b.w UNION SELECT w, d FROM less WHERE d IN (SELECT w FROM v) UNION SELECT d, w FROM less WHERE d IN (SELECT w FROM v)),
+best AS (SELECT near.w, count(*) AS n_near, arg_min(o, (-v.n, o)) AS o, max(v.n) AS o_n FROM near JOIN v ON v.w = near.o GROUP BY near.w),
+forms AS (SELECT v.w, n, coalesce(n_near, 0) AS n_near, CASE WHEN o_n >= 5 * n THEN o END AS form, CASE WHEN o_n >= 5 * n THEN o_n END AS form_n FROM v LEFT JOIN best USING (w)),
+follow AS (SELECT w, w AS root, form AS next FROM forms UNION ALL SELECT follow.w, forms.w, forms.form FROM follow JOIN forms ON forms.w = follow.next)
+SELECT w AS word, form, root, n, n_near, form_n FROM forms JOIN (SELECT w, root FROM follow WHERE next IS NULL) USING (w)"""
 #: All moments of a nation in one running sum.
 OP13_SQL = """WITH shipped AS (SELECT sale_id, max(shipped_at) AS s FROM sale_lines WHERE shipped_at IS NOT NULL GROUP BY 1),
 nations AS (SELECT client_id, min(nation_id) AS nation FROM clients GROUP BY 1),
@@ -114,4 +132,4 @@ SELECT CAST(nation_id AS INTEGER) AS nation_id, t AS from_s, to_s, CAST(n_open A
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontamination": OP4_SQL, "op13_peak_concurrency": OP13_SQL}
+    return {"op4_decontamination": OP4_SQL, "op12_spelling_variants": OP12_SQL, "op13_peak_concurrency": OP13_SQL}
