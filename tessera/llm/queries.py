@@ -12,6 +12,7 @@ from tessera.llm.concurrency import open_sales, sweep
 from tessera.llm.decontamination import digest, matches
 from tessera.llm.line_dedup import dedup_runs
 from tessera.llm.mixing import cycle_quotas, mix, word_count
+from tessera.llm.packing import pack
 from tessera.llm.sharding import shard_records
 from tessera.llm.simhash import near_duplicates
 from tessera.llm.sketches import edited_likeness
@@ -76,6 +77,11 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records(table(spark, sf_dir, "documents"), default_ranks())
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(table(spark, sf_dir, "documents"), default_ranks())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step")
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants(word_counts(table(spark, sf_dir, "documents"), slip_every=199))
 
@@ -86,7 +92,7 @@ def op13_peak_concurrency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_line_dedup": op1_line_dedup, "op2_mixing": op2_mixing, "op3_simhash": op3_simhash, "op4_decontamination": op4_decontamination, "op5_toxicity": op5_toxicity, "op6_sharding": op6_sharding, "op7_fingerprints": op7_fingerprints, "op8_suffix_dedup": op8_suffix_dedup, "op9_token_counts": op9_token_counts, "op10_token_store": op10_token_store, "op12_spelling_variants": op12_spelling_variants, "op13_peak_concurrency": op13_peak_concurrency}
+    return {"op1_line_dedup": op1_line_dedup, "op2_mixing": op2_mixing, "op3_simhash": op3_simhash, "op4_decontamination": op4_decontamination, "op5_toxicity": op5_toxicity, "op6_sharding": op6_sharding, "op7_fingerprints": op7_fingerprints, "op8_suffix_dedup": op8_suffix_dedup, "op9_token_counts": op9_token_counts, "op10_token_store": op10_token_store, "op11_packing": op11_packing, "op12_spelling_variants": op12_spelling_variants, "op13_peak_concurrency": op13_peak_concurrency}
 
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
