@@ -12,8 +12,14 @@ Within a bucket each text proposes its nearest earlier ones within the bit limit
 for a text the nearest are verified first, by their shingle sets (as sets of 64-bit hashes), and linked; what the links
 have connected by then needs no test any more; then more of the rest, then all of it. Buckets where some text had more
 close ones than it proposed propose again, only between texts that are not connected yet, more in the second round, and
-all in the last. So no close pair between different components stays untested, and yet a group of copies never sends or
-tests all its pairs.
+all in the last. There the texts bring fingerprints of 4,096 bits, whose limit follows from the sizes of the two shingle
+sets (`sharp_limit`): texts of one group that are near, but below the resemblance asked for, are told apart within the
+bucket, so their pairs are not sent. So no pair within the limits and between different components stays untested,
+and yet a group of copies never sends or tests all its pairs.
+
+Fingerprints are of shingle sets, as the resemblance is: a passage that stands in a text many times counts once. Sets
+of a few shingles (texts of under 20 words) differ in more bits than the angle says, so that of such pairs at exactly
+the least resemblance fewer than the recall asked for meet.
 
 Texts travel as numbers of distinct texts; equal texts are one. Defined cases: null reads as empty; texts without
 words are alike; repeated rows share a text; an empty table gives an empty result.
@@ -41,6 +47,8 @@ IN_BUCKET, MOST = 32, 1
 ROUNDS, TURNS = (4, 64, None), (2, 12, None)
 #: Fingerprint bits may differ by so many standard deviations more than expected at the least resemblance.
 DEVIATIONS = 3.3
+#: 64-bit words of the fingerprints of texts in crowded buckets.
+SHARP = 64
 
 
 def sliced(batches: Iterator[pa.RecordBatch], size: int = 1024) -> Iterator[pa.RecordBatch]:
@@ -64,6 +72,38 @@ def differing(resemblance: float) -> float:
     return math.acos(2 * resemblance / (1 + resemblance)) / math.pi
 
 
+def binomial(n: int) -> np.ndarray:
+    k = np.arange(n + 1)
+    logs = np.array([math.lgamma(x + 1) for x in range(n + 1)])
+    return np.exp(logs[n] - logs[k] - logs[n - k] - n * math.log(2))
+
+
+def apart(n: int, m: int, resemblance: float) -> float:
+    """Chance that the majority bits of two sets of n and m differ that share as few as the resemblance allows."""
+    both = min(n, m, math.ceil(resemblance / (1 + resemblance) * (n + m) - 1e-9))
+    a = np.arange(both + 1)
+
+    def ones(size: int) -> np.ndarray:  # by how many of the shared hashes have the bit
+        own = np.concatenate((np.cumsum(binomial(size - both)[::-1])[::-1], [0.0]))
+        return own[np.clip(size // 2 + 1 - a, 0, size - both + 1)]
+
+    x, y = ones(n), ones(m)
+    return float((binomial(both) * (x * (1 - y) + y * (1 - x))).sum())
+
+
+_sizes = np.array([*range(1, 33), 40, 48, 64, 96, 128, 192, 256, 384, 512])
+_limits: dict[float, np.ndarray] = {}
+
+
+def sharp_limit(sizes: np.ndarray, resemblance: float) -> np.ndarray:
+    """Bits of sharp fingerprints in which sets of that resemblance, the smaller one of these sizes, may differ: the most likely number at the worst larger size, and deviations as above."""
+    if resemblance not in _limits:
+        worst = [max(apart(n, m, resemblance) for n in range(s, s + (4 if s > 32 else 1)) for m in range(n, int(n / resemblance + 1e-9) + 1)) for s in _sizes.tolist()]
+        p, bits = np.maximum.accumulate(np.array(worst)[::-1])[::-1], 64 * SHARP
+        _limits[resemblance] = np.ceil(bits * p + DEVIATIONS * np.sqrt(bits * p * (1 - p))).astype(np.int64)
+    return _limits[resemblance][np.searchsorted(_sizes, np.maximum(sizes, 1), "right") - 1]
+
+
 def width(n: int) -> int:
     """Bits of a partition for n texts."""
     return max(8, math.ceil(math.log2(max(2, n) / IN_BUCKET)))
@@ -148,8 +188,11 @@ def distances(f: np.ndarray, rows: slice) -> np.ndarray:
     return out
 
 
-def proposals(f: np.ndarray, roots: np.ndarray | None, limit: int, most: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
-    """(earlier, later, differing bits) of pairs within limit, of different roots if given: of each text the `most` nearest earlier ones; and whether any were left out."""
+def proposals(f: np.ndarray, roots: np.ndarray | None, limit: int, most: int | None, sharp: np.ndarray | None = None, resemblance: float = 0.8) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
+    """(earlier, later, differing bits) of pairs within limit, of different roots if given: of each text the `most` nearest earlier ones; and whether any were left out.
+
+    sharp: each text's set size and sharp fingerprint, within whose limits pairs must be too.
+    """
     m = len(f)
     step = max(1, (1 << 20) // m)
     first, second, apart, more = [], [], [], False
@@ -159,6 +202,14 @@ def proposals(f: np.ndarray, roots: np.ndarray | None, limit: int, most: int | N
         close = (d <= limit) & (np.arange(m)[None, :] < i[:, None])
         if roots is not None:
             close &= roots[i][:, None] != roots[None, :]
+        if sharp is not None:
+            x, y = np.nonzero(close)
+            for some in range(0, len(x), 8192):
+                a, b = sharp[x[some : some + 8192] + at], sharp[y[some : some + 8192]]
+                smaller, larger = np.minimum(a[:, 0], b[:, 0]).astype(np.int64), np.maximum(a[:, 0], b[:, 0]).astype(np.int64)
+                near = np.bitwise_count(a[:, 1:] ^ b[:, 1:]).sum(1, dtype=np.int64) <= sharp_limit(smaller, resemblance)
+                near &= smaller >= resemblance * larger - 1e-9
+                close[x[some : some + 8192][~near], y[some : some + 8192][~near]] = False
         many = close.sum(1)
         for r in np.flatnonzero(many > most).tolist() if most else []:
             more = True
@@ -172,17 +223,20 @@ def proposals(f: np.ndarray, roots: np.ndarray | None, limit: int, most: int | N
     return np.concatenate(first), np.concatenate(second), np.concatenate(apart), more
 
 
-def proposed(met: DataFrame, limit: int, words64: int, most: int | None) -> DataFrame:
-    """(a, b, d, k, f0 ...): pairs and the bits in which they differ (k null), and the texts (b null) of buckets where some text had more close ones than it proposes."""
+def proposed(met: DataFrame, limit: int, words64: int, most: int | None, resemblance: float = 0.8) -> DataFrame:
+    """(a, b, d, k, f0 ...): pairs and the bits in which they differ (k null), and the texts (b null) of buckets where some text had more close ones than it proposes.
+
+    met has the columns root and sharp behind the others, or neither.
+    """
     rooted = "root" in met.columns
     names = ["a", "b", "d", "k", *(f"f{i}" for i in range(words64))]
 
-    def told(k: np.ndarray, ids: np.ndarray, f: np.ndarray, roots: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    def told(k: np.ndarray, ids: np.ndarray, f: np.ndarray, roots: np.ndarray | None, sharp: np.ndarray | None) -> Iterator[pa.RecordBatch]:
         begins = np.concatenate(([0], np.flatnonzero(k[1:] != k[:-1]) + 1, [len(k)]))
         a, b, apart, again = [], [], [], []
         for g in np.flatnonzero(np.diff(begins) > 1).tolist():
             s, e = int(begins[g]), int(begins[g + 1])
-            x, y, d, more = proposals(f[s:e], None if roots is None else roots[s:e], limit, most)
+            x, y, d, more = proposals(f[s:e], None if roots is None else roots[s:e], limit, most, None if sharp is None else sharp[s:e], resemblance)
             if len(x):
                 a.append(ids[s:e][x])
                 b.append(ids[s:e][y])
@@ -203,7 +257,7 @@ def proposed(met: DataFrame, limit: int, words64: int, most: int | None) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
-            now = [c.to_numpy() for c in batch.columns]
+            now = [c.to_numpy() if c.type != pa.binary() else np.frombuffer(b"".join(c.to_pylist()), np.uint64).reshape(len(c), -1) for c in batch.columns]
             if rest is not None:
                 now = [np.concatenate(x) for x in zip(rest, now, strict=True)]
             if not len(now[0]):
@@ -217,7 +271,7 @@ def proposed(met: DataFrame, limit: int, words64: int, most: int | None) -> Data
 
     def parted(columns: list[np.ndarray]) -> tuple:
         f = np.stack(columns[2 : 2 + words64], 1).view(np.uint64)
-        return columns[0], columns[1], f, columns[-1] if rooted else None
+        return columns[0], columns[1], f, *(columns[-2:] if rooted else (None, None))
 
     dealt = met.repartition(partitions(met), "k").sortWithinPartitions("k", "id")
     return dealt.mapInArrow(run, ", ".join(f"{n} long" for n in names))
@@ -229,14 +283,15 @@ def near_copies(docs: DataFrame, key: str, text: str, size: int = 5, words64: in
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches):
             texts = [t or b"" for t in b[1].cast(pa.binary()).to_pylist()]
-            fps = [majority(h, words64) for part in in_parts(texts) for h in shingle_hashes(part, size)]
+            fps = [majority(np.unique(h), words64) for part in in_parts(texts) for h in shingle_hashes(part, size)]
             yield pa.RecordBatch.from_arrays([b[0], pa.array([hashlib.md5(t).digest() for t in texts], pa.binary()), pa.array(fps, pa.binary())], names=[key, "node", "fp"])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches):
             texts = [t or b"" for t in b[1].cast(pa.binary()).to_pylist()]
-            found = [np.unique(h).tobytes() for part in in_parts(texts) for h in shingle_hashes(part, size)]
-            yield pa.RecordBatch.from_arrays([b[0], pa.array(found, pa.binary())], names=["id", "shingles"])
+            found = [np.unique(h) for part in in_parts(texts) for h in shingle_hashes(part, size)]
+            sharp = [np.uint64(len(h)).tobytes() + majority(h, SHARP) if crowded else None for h, crowded in zip(found, b[2].to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b[0], pa.array([h.tobytes() for h in found], pa.binary()), pa.array(sharp, pa.binary())], names=["id", "shingles", "sharp"])
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -259,9 +314,9 @@ def near_copies(docs: DataFrame, key: str, text: str, size: int = 5, words64: in
     first = materialize(proposed(buckets(distinct, index, words64), limit, words64, ROUNDS[0]), "near-proposed")
     hot = first.filter("b is null").select("k", F.col("a").alias("id"), *(f"f{i}" for i in range(words64)))
     # the shingle sets of the texts that are or may be compared
-    needed = first.select(F.col("a").alias("id")).union(first.filter("b is not null").select("b")).distinct().join(distinct.select("id", "least"), "id")
-    texts = needed.withColumnRenamed("least", "__least").join(source.select(F.col(key).alias("__least"), F.col(text).alias("__text")), "__least").groupBy("id").agg(F.first(F.coalesce("__text", F.lit(""))).alias("__text"))
-    shingled = materialize(texts.mapInArrow(sets, "id long, shingles binary"), "near-shingles")
+    needed = first.select(F.col("a").alias("id"), F.col("b").isNull().alias("crowded")).union(first.filter("b is not null").select("b", F.lit(False))).groupBy("id").agg(F.max("crowded").alias("crowded")).join(distinct.select("id", "least"), "id")
+    texts = needed.withColumnRenamed("least", "__least").join(source.select(F.col(key).alias("__least"), F.col(text).alias("__text")), "__least").groupBy("id").agg(F.first(F.coalesce("__text", F.lit(""))).alias("__text"), F.first("crowded").alias("crowded"))
+    shingled = materialize(texts.mapInArrow(sets, "id long, shingles binary, sharp binary"), "near-shingles")
     tested = roots = None
 
     def rooted(c: str) -> DataFrame:
@@ -273,7 +328,8 @@ def near_copies(docs: DataFrame, key: str, text: str, size: int = 5, words64: in
             if hot.isEmpty():
                 break
             met = hot.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("k", "id", *(f"f{i}" for i in range(words64)), F.coalesce("root", "id").alias("root"))
-            found = materialize(proposed(met, limit, words64, most), "near-proposed")
+            met = met.join(shingled.filter("sharp is not null").select("id", "sharp"), "id").select(*met.columns, "sharp")
+            found = materialize(proposed(met, limit, words64, most, resemblance), "near-proposed")
         pool = found.filter("b is not null").select("a", "b", "d").distinct()
         for turn in TURNS:
             left = pool

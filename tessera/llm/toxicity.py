@@ -310,5 +310,6 @@ def score(docs: DataFrame, tagger: Tagger, text: str = "text", column: str = "sc
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", limit: float = 0.5) -> DataFrame:
-    """docs without the rows whose score is `limit` or more; columns as before."""
-    return score(docs, fit(docs, labels, key, text), text, "__score", None).filter(F.col("__score") < limit).drop("__score")
+    """docs without the rows whose score is `limit` or more; columns as before, whatever their names."""
+    nested = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    return score(nested, fit(docs, labels, key, text), "text", "score", None).filter(F.col("score") < limit).select("row.*")

@@ -153,3 +153,63 @@ def test_many_copies_send_few_pairs(spark):
     finally:
         near.materialize = old
     assert got == {0} and sum(tested) < 700 * 8 < 700 * 699 / 2
+
+
+def test_a_passage_that_repeats_inside_a_text(spark):
+    """Resemblance is of sets, and so are the fingerprints: how often a line stands in a text changes nothing."""
+    rnd = random.Random(21)
+    docs = []
+    for i in range(40):
+        body, line = (" ".join(f"w{rnd.randrange(4000)}" for _ in range(n)) for n in (200, 12))
+        docs += [(2 * i, f"{body} {line}"), (2 * i + 1, f"{body}{f' {line}' * (1 + i)}")]
+    docs += [(200, None), (201, ""), (201, "")]
+    sets = {d: shingles(t or "", 5) for d, t in docs}
+    assert all(len(sets[d] & sets[d + 1]) / len(sets[d] | sets[d + 1]) >= 0.8 for d in range(0, 80, 2))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: r["component"] for r in near_copies(frame, "doc_id", "text", **corpus_pipeline.NEAR).collect()}
+    assert all(got[d] == got[d + 1] == d for d in range(0, 80, 2)) and got[201] == got[200] == 200
+    assert near_copies(frame.limit(0), "doc_id", "text", **corpus_pipeline.NEAR).count() == 0
+
+
+def test_sharp_limits_keep_recall():
+    """Of pairs at exactly 0.8, whatever their sizes, nearly all are within the limit; of pairs at 0.7 few."""
+    rnd = np.random.default_rng(3)
+    kept, far, pairs = 0, 0, 0
+    for n, m, both, wide in ((4, 5, 4, 3), (9, 9, 8, 7), (30, 33, 28, 26), (64, 80, 64, 59), (90, 90, 80, 74), (300, 300, 267, 247), (900, 1000, 845, 783)):
+        for _ in range(60):
+            h = rnd.integers(0, 2**64, n + m, dtype=np.uint64)
+            for share, count in ((both, True), (wide, False)):
+                x, y = (np.frombuffer(near.majority(v, near.SHARP), np.uint64) for v in (h[:n], h[n - share : n - share + m]))
+                ok = np.bitwise_count(x ^ y).sum() <= near.sharp_limit(np.array([min(n, m)]), 0.8)[0]
+                kept, far = kept + (ok and count), far + (ok and not count and n >= 300)
+            pairs += 1
+    assert kept >= 0.995 * pairs and far <= 4
+
+
+def test_a_group_below_the_resemblance_sends_few_pairs(spark):
+    """Texts of one group, each two of which resemble each other by some 0.72, stay apart and are hardly tested."""
+    rnd = random.Random(5)
+    core = [f"w{rnd.randrange(5000)}" for _ in range(400)]
+    docs = []
+    for i in range(260):
+        t = list(core)
+        for at in rnd.sample(range(80), 12):
+            t[5 * at] = f"x{i}_{at}"
+        docs.append((i, " ".join(t)))
+    sets = [shingles(t, 5) for _, t in docs]
+    close = sum(len(a & b) >= 0.8 * len(a | b) for k, a in enumerate(sets) for b in sets[:k])
+    tested = []
+    old = near.materialize
+
+    def watched(df, name):
+        out = old(df, name)
+        if name == "near-tested":
+            tested.append(out.count())
+        return out
+
+    near.materialize = watched
+    try:
+        got = {r["doc_id"]: r["component"] for r in near_copies(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text", **corpus_pipeline.NEAR).collect()}
+    finally:
+        near.materialize = old
+    assert sum(tested) < 260 * 12 < 260 * 259 / 6 and (close or all(k == v for k, v in got.items()))

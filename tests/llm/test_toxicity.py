@@ -101,7 +101,8 @@ def test_held_out_accuracy_spans_and_cases(spark):
             assert t.encode()[a:b].decode() in ("Vile", "RÜDE", "nasty")
     kept = {r["doc_id"] for r in keep_clean(docs, marks).collect()}
     assert kept == {i for i, r in by.items() if r["score"] < 0.5}
-    assert keep_clean(docs, marks).columns == docs.columns
+    clashing = docs.withColumns({"__score": docs["doc_id"], "score": docs["doc_id"]})
+    assert keep_clean(clashing, marks).columns == clashing.columns and {r["__score"] for r in keep_clean(clashing, marks).collect()} == kept
 
 
 def test_fold_and_no_labels(spark):
