@@ -334,8 +334,9 @@ def near_copies(docs: DataFrame, key: str, text: str, size: int = 5, words64: in
         for turn in TURNS:
             left = pool
             if tested is not None:
-                apart = pool.join(rooted("a"), "a", "left").join(rooted("b"), "b", "left").filter(F.coalesce("a_root", "a") != F.coalesce("b_root", "b"))
-                left = apart.select("a", "b", "d").join(tested.select("a", "b"), ["a", "b"], "left_anti")
+                fresh = pool.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+                apart = fresh.join(rooted("a"), "a", "left").join(rooted("b"), "b", "left").filter(F.coalesce("a_root", "a") != F.coalesce("b_root", "b"))
+                left = apart.select("a", "b", "d")
             if turn:
                 left = left.withColumn("nth", F.row_number().over(Window.partitionBy("b").orderBy("d", "a"))).filter(F.col("nth") <= turn)
             joined = left.select("a", "b").join(shingled.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(shingled.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
