@@ -39,13 +39,13 @@ FRESH = r"(?iU)fresh\s*grad|tanpa pengalaman|no experience|tidak (perlu|wajib) b
 YEARS = r"(?iU)(\d+(?:[.,]\d+)?)\s*(?:-\s*\d+\s*)?(tahun|thn|th\b|years?|yrs?)"
 MONTHS = r"(?iU)(\d+)\s*(?:-\s*\d+\s*)?(bulan|bln|months?)"
 
-# Employment types, in alphabetical order, and what names them.
+# Employment types and what names them.
 EMPLOYMENT = (
-    ("contract", r"(?iU)contract|kontrak|temporary|temporer|pkwt|outsourc"),
-    ("freelance", r"(?iU)freelance|lepas|per diem|gig"),
-    ("full_time", r"(?iU)full[\s_-]*time|penuh waktu|permanent|tetap|pkwtt|regular"),
     ("internship", r"(?iU)intern|magang|ojt|on the job|trainee|praktik kerja|pkl"),
+    ("freelance", r"(?iU)freelance|lepas|per diem|gig"),
     ("part_time", r"(?iU)part[\s_-]*time|paruh waktu|paruh-waktu"),
+    ("contract", r"(?iU)contract|kontrak|temporary|temporer|pkwt|outsourc"),
+    ("full_time", r"(?iU)full[\s_-]*time|penuh waktu|permanent|tetap|pkwtt|regular"),
 )
 
 

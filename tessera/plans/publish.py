@@ -9,7 +9,7 @@ from tessera.functions.privacy import hide_name
 from tessera.functions.text import region_label, short_id, truncate
 
 
-def records(vacancies: DataFrame, public: bool = True, limit: int | None = 500, description_chars: int = 400, exact: bool = True) -> DataFrame:
+def records(vacancies: DataFrame, public: bool = True, limit: int | None = 500, description_chars: int = 200, exact: bool = True) -> DataFrame:
     """(record) of active vacancies, newest first: nested structs, null where nothing is known.
 
     vacancies: vacancy_id, title, company_name, company_hmac, url, source, code, code_title, unit, unit_title,

@@ -21,7 +21,7 @@ def _script(data):
 
 
 def _postings(t):
-    """(k, url, body): pages with a posting by itself, in a list, in a graph, or with a comma too many; broken ones; ones without a title."""
+    """(k, url, body): pages with a posting by itself, in a list, in a graph, in lists and graphs of each other, or with a comma too many; broken ones; ones without a title."""
     k, price = _columns()
     salary = F.struct(price.alias("minValue"), F.when(k % 3 == 0, price).otherwise(price * 2).alias("maxValue"), F.lit("MONTH").alias("unitText"))
     address = F.struct(F.concat(F.lit("Kota "), "o_custkey").alias("addressLocality"), F.concat(F.lit("Region "), "o_orderstatus").alias("addressRegion"), F.concat(F.lit("Jl.  "), k).alias("streetAddress"))
@@ -46,6 +46,9 @@ def _postings(t):
         .when(k % 6 == 3, F.concat(F.substring(posting, F.lit(1), F.length(posting) - 1), F.lit(",}")))
         .when(k % 6 == 4, "{broken")
         .when(k % 6 == 5, '{"@type":"JobPosting"}')
+        .when(k % 24 == 6, F.concat(F.lit('[{"@type":"WebSite"}, ['), posting, F.lit(', "x"]]')))
+        .when(k % 24 == 12, F.concat(F.lit('{"@graph": [{"@type":"WebPage", "@graph": ['), posting, F.lit("]}]}")))
+        .when(k % 24 == 18, F.concat(F.lit('{"@graph": [[{"name":"]]"}, ['), posting, F.lit("]]]}")))
         .otherwise(posting)
     )
     return t("orders").select(k.alias("k"), F.concat(F.lit("https://x/o"), k).alias("url"), _script(data).alias("body"))

@@ -119,3 +119,23 @@ def test_fetcher():
     for url, error in (("https://a/no", Disallowed), ("https://b/x", Disallowed), ("https://a/403", Blocked), ("https://a/404", FetchError)):
         with pytest.raises(error):
             f.get(url)
+
+
+def test_postings_of_any_depth_in_order(spark):
+    job = lambda n: {"@type": "JobPosting", "title": n}
+    deep = job("deep")
+    for _ in range(40):
+        deep = [{"@graph": [deep, {"@type": "WebPage"}]}]
+    cases = [
+        ([[job("a")]], ["a"]),
+        ({"@graph": [{"@graph": [job("b")]}]}, ["b"]),
+        ({"@graph": [[job("c")], "x", None, 3]}, ["c"]),
+        ([job("d"), [job("e"), {"@type": ["Thing", "JobPosting"], "title": "f", "@graph": [job("g"), [job("h")]]}], job("i [ {")], ["i [ {", "f", "h", "g", "e", "d"]),
+        (deep, ["deep"]),
+        ([], []),
+        ({"a": [job("not reached")]}, []),
+        ("text", []),
+    ]
+    rows = [(i, f'<script type="application/ld+json">{json.dumps(v)}</script>') for i, (v, _) in enumerate(cases)] + [(99, None), (98, '<script type="application/ld+json">{"a": ]]]</script>')]
+    found = spark.createDataFrame(rows, "i int, body string").select("i", F.transform(pages.postings_in(F.col("body")), lambda v: F.try_variant_get(v, "$.title", "string")).alias("titles"))
+    assert {r["i"]: r["titles"] for r in found.collect()} == {i: want for i, (_, want) in enumerate(cases)} | {99: [], 98: []}
