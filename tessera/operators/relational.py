@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.graph import written
+
 
 def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     """The first n rows of each group; the row number is compared right away, so the sort is limited before the shuffle."""
@@ -101,6 +103,46 @@ def until_streak(df: DataFrame, group: Sequence[str], order: Sequence[str], bad:
     return counted.withColumn("__over", F.coalesce(F.max("__long").over(before), F.lit(0))).filter("__over = 0").drop("__bad", "__run", "__long", "__over")
 
 
+def in_ranges(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """df as a table whose rows are dealt into ranges of (group, order), numbered in that order by `__range`.
+
+    A group of any size lies in as many ranges as it fills; what has to be known of the order across ranges is then
+    summed up by range. The table is written, so that both passes over it see the same ranges.
+    """
+    return written(df.repartitionByRange(*group, *order).withColumn("__range", F.spark_partition_id()))
+
+
+def until_streak_in_ranges(df: DataFrame, group: Sequence[str], order: Sequence[str], bad: Column, streak: int = 30) -> DataFrame:
+    """`until_streak` for groups of any size: no window holds more than one range of a group.
+
+    A range is summed up by the bad rows before its first good one, those behind its last, and its longest run. Put
+    together in order, these say how long a run comes into each range and whether an earlier one has ended the group;
+    each range is then cut on its own. Order must tell the rows of a group apart.
+    """
+    rows = in_ranges(df.withColumn("__bad", F.coalesce(bad, F.lit(False)).cast("int")), group, order)
+    own = ["__range", *group]
+    up_to = Window.partitionBy(*own).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("__run", F.sum(1 - F.col("__bad")).over(up_to))
+    in_run = Window.partitionBy(*own, "__run").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("__long", F.sum("__bad").over(in_run))
+
+    runs = rows.groupBy(*own, "__run").agg(F.sum("__bad").alias("n"))
+    sums = runs.groupBy(*own).agg(F.max(F.when(F.col("__run") == 0, F.col("n"))).alias("first"), F.max_by("n", "__run").alias("last"), F.max("n").alias("longest"), F.max("__run").alias("good"))
+    ranges = Window.partitionBy(*group).orderBy("__range")
+    sums = sums.withColumn("__part", F.sum((F.col("good") > 0).cast("int")).over(ranges))
+    within = Window.partitionBy(*group, "__part").orderBy("__range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = sums.withColumn("__open", F.sum("last").over(within))  # the run that goes on behind this range
+    sums = sums.withColumn("__in", F.coalesce(F.lag("__open").over(ranges), F.lit(0)))
+    reached = F.greatest(F.coalesce("first", F.lit(0)) + F.col("__in"), "longest") >= streak
+    sums = sums.withColumn("__ended", F.coalesce(F.max(reached.cast("int")).over(ranges.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+
+    told = sums.select(*(F.col(c).alias(f"{c}_") for c in own), "__in", "__ended")
+    joined = rows.join(told, [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in own]).filter("__ended = 0")
+    over = (F.col("__long") + F.when(F.col("__run") == 0, F.col("__in")).otherwise(0) >= streak) & (F.col("__bad") == 1)
+    before = Window.partitionBy(*own).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return joined.withColumn("__over", F.coalesce(F.max(over.cast("int")).over(before), F.lit(0))).filter("__over = 0").select(*df.columns)
+
+
 def batches(df: DataFrame, group: Sequence[str], order: Sequence[str], size: int, item: Column) -> DataFrame:
     """Items of each group in ordered batches of `size`: (group, batch, refs, items)."""
     w = Window.partitionBy(*group).orderBy(*order)

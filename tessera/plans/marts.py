@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.quality import share
+from tessera.operators.relational import in_ranges
 
 
 def summary(vacancies: DataFrame, coded: DataFrame, n_postings: DataFrame, today: Column, window_days: int = 60) -> DataFrame:
@@ -67,16 +68,18 @@ def quartile(values: Column, n: Column, i: int) -> Column:
 def salary_quartiles(df: DataFrame, by: str, low: str, high: str, least: int = 5, step: int = -4) -> DataFrame:
     """(by, n, p25, median, p75) of the midpoints of ranges, exclusive quartiles rounded half to even; small groups are left out.
 
-    Exact quartiles without gathering a group: ranks within a group come from a window, and only the values at the
-    two places of each quartile are kept.
+    Exact quartiles by selection: equal values are counted first, and those counts are dealt into ranges of value. A
+    value's rank is its place in its range plus what earlier ranges of its group hold, so that a group of any size is
+    ranked by many tasks; only the values at the two places of each quartile are kept.
     """
     mid = ((F.col(low) + F.coalesce(F.nullif(F.col(high), F.lit(0)), F.col(low))) / 2).alias("v")
-    rows = df.filter(F.col(by).isNotNull() & (F.coalesce(F.col(low), F.lit(0)) != 0)).select(by, mid)
-    sizes = rows.groupBy(by).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
-    # equal values are counted before they are ranked, so that the window holds distinct values only
-    steps = rows.groupBy(by, "v").agg(F.count(F.lit(1)).alias("k"))
-    upto = F.sum("k").over(Window.partitionBy(by).orderBy("v"))
-    ranked = steps.withColumn("__hi", upto).withColumn("__lo", F.col("__hi") - F.col("k") + 1).join(F.broadcast(sizes), by)
+    rows = df.filter(F.col(by).isNotNull() & (F.coalesce(F.col(low), F.lit(0)) != 0)).select(F.col(by).alias("__by"), mid)
+    steps = in_ranges(rows.groupBy("__by", "v").agg(F.count(F.lit(1)).alias("k")), ["__by"], ["v"])
+    held = steps.groupBy("__by", "__range").agg(F.sum("k").alias("held"))
+    earlier = Window.partitionBy("__by").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    held = held.select("__by", "__range", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("earlier"), F.sum("held").over(Window.partitionBy("__by")).alias("n")).filter(F.col("n") >= least)
+    upto = F.sum("k").over(Window.partitionBy("__by", "__range").orderBy("v"))
+    ranked = steps.withColumn("upto", upto).join(held, ["__by", "__range"]).withColumn("__hi", F.col("earlier") + F.col("upto")).withColumn("__lo", F.col("__hi") - F.col("k") + 1)
 
     def at(place: Column) -> Column:
         return F.max(F.when((F.col("__lo") <= place) & (place <= F.col("__hi")), F.col("v")))
@@ -85,14 +88,14 @@ def salary_quartiles(df: DataFrame, by: str, low: str, high: str, least: int = 5
     for i in (1, 2, 3):
         j = F.greatest(F.lit(1), F.least(F.floor(i * (F.col("n") + 1) / 4), F.col("n") - 1))
         places[f"a{i}"], places[f"b{i}"] = at(j), at(j + 1)
-    found = ranked.groupBy(by, "n").agg(*(c.alias(k) for k, c in places.items()))
+    found = ranked.groupBy("__by", "n").agg(*(c.alias(k) for k, c in places.items()))
 
     def value(i: int) -> Column:
         j = F.greatest(F.lit(1), F.least(F.floor(i * (F.col("n") + 1) / 4), F.col("n") - 1))
         d = i * (F.col("n") + 1) - 4 * j
         return F.bround((F.col(f"a{i}") * (4 - d) + F.col(f"b{i}") * d) / 4, step)
 
-    return found.select(by, "n", value(1).alias("p25"), value(2).alias("median"), value(3).alias("p75"))
+    return found.select(F.col("__by").alias(by), "n", value(1).alias("p25"), value(2).alias("median"), value(3).alias("p75"))
 
 
 def histogram(df: DataFrame, value: str, bins: int = 10) -> DataFrame:

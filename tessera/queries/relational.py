@@ -137,7 +137,7 @@ over AS (SELECT *, coalesce(max(streak) OVER (PARTITION BY l_suppkey ORDER BY l_
 SELECT l_suppkey, count(*) AS n FROM over WHERE worst < 12 GROUP BY 1""")
 def old_streak_stop(t):
     order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"]
-    return R.until_streak(t("lineitem").select("l_suppkey", "l_quantity", *order), ["l_suppkey"], order, F.col("l_quantity") > 10, 12).groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
+    return R.until_streak_in_ranges(t("lineitem").select("l_suppkey", "l_quantity", *order), ["l_suppkey"], order, F.col("l_quantity") > 10, 12).groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""WITH n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS k FROM conversations)

@@ -1,9 +1,12 @@
 import json
+import random
+import statistics
+from decimal import ROUND_HALF_EVEN, Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import classify, quality
+from tessera.operators import classify, quality, relational
 from tessera.plans import marts
 from tessera.sources.model_client import ModelClient, ModelError
 from tessera.streaming import ingest
@@ -190,3 +193,49 @@ def test_pages_sorts_and_date_stop(spark):
     assert {how: [r["id"] for r in R.sorted_by(v, how).collect()] for how in ("new", "salary", "sources", "confidence")} == {"new": [2, 1, 3], "salary": [3, 1, 2], "sources": [2, 3, 1], "confidence": [3, 1, 2]}
     said = spark.createDataFrame([("\t1",), ("1\n",), (" 2 ",)], "t string").coalesce(1)
     assert [r[0] for r in said.select(parse_experience(F.col("t"))).collect()] == [1, 1, 2]
+
+
+@pytest.fixture
+def many_ranges(spark):
+    keep = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "13"}
+    before = {k: spark.conf.get(k) for k in keep}
+    for k, v in keep.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def cut_one_by_one(rows, streak):
+    out, state = set(), {}
+    for g, n, bad in sorted(rows, key=lambda r: (str(r[0]), r[1])):
+        run, over = state.get(g, (0, False))
+        if not over:
+            out.add((g, n, bad))
+        run = run + 1 if bad else 0
+        state[g] = run, over or run >= streak
+    return out
+
+
+def test_streaks_over_ranges(spark, many_ranges):
+    """A source in many ranges is cut where it would be if read row by row; so is one of bad rows only, and one without a name."""
+    rnd = random.Random(2)
+    for share, streak in ((0.5, 5), (0.85, 12), (0.97, 60), (1.0, 40)):
+        rows = [(rnd.choice(["a", "a", "a", "b", None]), n, rnd.random() < share) for n in range(700)] + [("c", n, n != 3) for n in range(20)]
+        df = spark.createDataFrame(rows, "s string, n int, old boolean")
+        got = relational.until_streak_in_ranges(df, ["s"], ["n"], F.col("old"), streak)
+        assert got.columns == df.columns and {tuple(r) for r in got.collect()} == cut_one_by_one(rows, streak)
+        assert {tuple(r) for r in relational.until_streak(df, ["s"], ["n"], F.col("old"), streak).collect()} == cut_one_by_one(rows, streak)
+    assert relational.in_ranges(df.filter("s = 'a'"), ["s"], ["n"]).select("__range").distinct().count() > 5
+    assert relational.until_streak_in_ranges(df.limit(0), ["s"], ["n"], F.col("old"), 3).count() == 0
+
+
+def test_quartiles_by_selection(spark, many_ranges):
+    rnd = random.Random(4)
+    rows = [(rnd.choice(["x", "x", "x", "y", "z", None]), rnd.choice([None, 0, *range(1, 400)]) , rnd.choice([None, 0, 500, 777])) for _ in range(900)] + [("few", 5, 5)] * 4 + [("same", 8, None)] * 9
+    want = {}
+    for k in ("x", "y", "z", "same"):
+        values = [(low + (high or low)) / 2 for g, low, high in rows if g == k and low]
+        want[k] = (len(values), *(Decimal(q).quantize(Decimal("0.1"), ROUND_HALF_EVEN) for q in statistics.quantiles(values, n=4)))
+    out = marts.salary_quartiles(spark.createDataFrame(rows, "by string, low long, high long"), "by", "low", "high", step=1)
+    assert {r["by"]: (r["n"], *(Decimal(r[c]).quantize(Decimal("0.1")) for c in ("p25", "median", "p75"))) for r in out.collect()} == want
