@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import relational as R
+from tessera.operators.graph import shared_path
+from tessera.operators.snapshots import KeyedTable
 from tessera.queries import query
 
 
@@ -102,6 +104,18 @@ def snapshot_upsert(t):
     return R.upsert(old, new, ["id"], "version", ["first_at"], ["vacancy"])
 
 
+@query("""SELECT o_orderkey AS id, CASE WHEN o_orderkey % 90 = 0 THEN -1 ELSE o_totalprice END + CASE WHEN o_orderkey % 60 = 1 THEN 1 ELSE 0 END AS price, CASE WHEN o_orderkey % 90 = 0 THEN 3 WHEN o_orderkey % 60 = 1 THEN 2 ELSE 1 END AS version FROM orders
+WHERE (o_orderkey % 2 = 0 OR o_orderkey % 60 = 1) AND o_orderkey % 77 <> 0""")
+def bucketed_changes(t):
+    """A keyed table of half the orders, then an upsert, an update by key and a deletion; each rewrites the buckets of its own keys."""
+    o = t("orders").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price"), F.lit(1).alias("version"))
+    table = KeyedTable.create(o.filter("id % 2 = 0"), shared_path(o.sparkSession, "orders"), ["id"], 16)
+    table.change(o.filter("id % 60 = 1").withColumns({"price": F.col("price") + 1, "version": F.lit(2)}), lambda old, new: R.upsert(old, new, ["id"], "version"))
+    table.change(o.filter("id % 90 = 0").select("id", F.lit(-1.0).alias("price"), F.lit(3).alias("version")), lambda old, new: R.update_by_key(old, new, ["id"]))
+    table.change(o.filter("id % 77 = 0").select("id"), lambda old, new: old.join(new, "id", "left_anti"))
+    return table.read()
+
+
 @query("""SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_custkey % 2 = 0 UNION ALL
 SELECT o_custkey, min('order ' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0')) FROM orders WHERE o_custkey % 2 = 1 GROUP BY 1""")
 def insert_if_absent(t):
