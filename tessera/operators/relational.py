@@ -104,12 +104,12 @@ def until_streak(df: DataFrame, group: Sequence[str], order: Sequence[str], bad:
 
 
 def in_ranges(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """df as a table whose rows are dealt into ranges of (group, order), numbered in that order by `__range`.
+    """df with its rows dealt into ranges of (group, order), numbered in that order by `__range`.
 
     A group of any size lies in as many ranges as it fills; what has to be known of the order across ranges is then
-    summed up by range. The table is written, so that both passes over it see the same ranges.
+    summed up by range. Ranges come from a sample: write the result before it is read twice.
     """
-    return written(df.repartitionByRange(*group, *order).withColumn("__range", F.spark_partition_id()))
+    return df.repartitionByRange(*group, *order).withColumn("__range", F.spark_partition_id())
 
 
 def until_streak_in_ranges(df: DataFrame, group: Sequence[str], order: Sequence[str], bad: Column, streak: int = 30) -> DataFrame:
@@ -124,7 +124,7 @@ def until_streak_in_ranges(df: DataFrame, group: Sequence[str], order: Sequence[
     up_to = Window.partitionBy(*own).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("__run", F.sum(1 - F.col("__bad")).over(up_to))
     in_run = Window.partitionBy(*own, "__run").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumn("__long", F.sum("__bad").over(in_run))
+    rows = written(rows.withColumn("__long", F.sum("__bad").over(in_run)))
 
     runs = rows.groupBy(*own, "__run").agg(F.sum("__bad").alias("n"))
     sums = runs.groupBy(*own).agg(F.max(F.when(F.col("__run") == 0, F.col("n"))).alias("first"), F.max_by("n", "__run").alias("last"), F.max("n").alias("longest"), F.max("__run").alias("good"))

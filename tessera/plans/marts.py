@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.graph import written
 from tessera.operators.quality import share
 from tessera.operators.relational import in_ranges
 
@@ -74,12 +75,12 @@ def salary_quartiles(df: DataFrame, by: str, low: str, high: str, least: int = 5
     """
     mid = ((F.col(low) + F.coalesce(F.nullif(F.col(high), F.lit(0)), F.col(low))) / 2).alias("v")
     rows = df.filter(F.col(by).isNotNull() & (F.coalesce(F.col(low), F.lit(0)) != 0)).select(F.col(by).alias("__by"), mid)
-    steps = in_ranges(rows.groupBy("__by", "v").agg(F.count(F.lit(1)).alias("k")), ["__by"], ["v"])
+    upto = F.sum("k").over(Window.partitionBy("__by", "__range").orderBy("v"))
+    steps = written(in_ranges(rows.groupBy("__by", "v").agg(F.count(F.lit(1)).alias("k")), ["__by"], ["v"]).withColumn("upto", upto))
     held = steps.groupBy("__by", "__range").agg(F.sum("k").alias("held"))
     earlier = Window.partitionBy("__by").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     held = held.select("__by", "__range", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("earlier"), F.sum("held").over(Window.partitionBy("__by")).alias("n")).filter(F.col("n") >= least)
-    upto = F.sum("k").over(Window.partitionBy("__by", "__range").orderBy("v"))
-    ranked = steps.withColumn("upto", upto).join(held, ["__by", "__range"]).withColumn("__hi", F.col("earlier") + F.col("upto")).withColumn("__lo", F.col("__hi") - F.col("k") + 1)
+    ranked = steps.join(held, ["__by", "__range"]).withColumn("__hi", F.col("earlier") + F.col("upto")).withColumn("__lo", F.col("__hi") - F.col("k") + 1)
 
     def at(place: Column) -> Column:
         return F.max(F.when((F.col("__lo") <= place) & (place <= F.col("__hi")), F.col("v")))
