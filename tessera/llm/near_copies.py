@@ -330,7 +330,7 @@ def near_copies(docs: DataFrame, key: str, text: str, size: int = 5, words64: in
             met = hot.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("k", "id", *(f"f{i}" for i in range(words64)), F.coalesce("root", "id").alias("root"))
             met = met.join(shingled.filter("sharp is not null").select("id", "sharp"), "id").select(*met.columns, "sharp")
             found = materialize(proposed(met, limit, words64, most, resemblance), "near-proposed")
-        pool = found.filter("b is not null").select("a", "b", "d").distinct()
+        pool = materialize(found.filter("b is not null").select("a", "b", "d").distinct(), "near-pool")
         for turn in TURNS:
             left = pool
             if tested is not None:
