@@ -22,17 +22,31 @@ TITLES = r"bapak|ibu|bpk|bu|pak|mr|mrs|ms|sdr|sdri"
 CONTACT_NAME = rf"(?U)((?i:\b(?:{CUES})\s*[:.]?\s*(?:(?:{TITLES})\.?\s+)?))([A-Z](?i:[a-z]+)(?i:\s+[A-Z][a-z]+){{0,2}})"
 
 
+# The same matches, sought only where one can begin: an address at the beginning of its run of characters or behind the
+# last match (a long run is read once, not from each of its characters), a phone or a cue at its possible first characters.
+_LOCAL = "[A-Za-z0-9._%+-]"
+EMAIL_RUN = EMAIL.replace(f"{_LOCAL}+@", rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@")
+PHONE_START = PHONE.replace("(?U)", "(?U)(?=[+(06])")
+NAME_START = CONTACT_NAME.replace("(?U)(", "(?U)(?=[achkmnACHKMN\u212a])(", 1)
+# What every contact link holds.
+LINK_HOST = r"(?i)\.(?:me|com)/"
+
+
 def mask_text(text: Column) -> Column:
-    """Links, e-mails, phones and names behind a contact cue, each replaced; null becomes empty."""
+    """Links, e-mails, phones and names behind a contact cue, each replaced; null becomes empty.
+
+    Masks hold neither an at sign nor a host, so the text as it came tells which patterns have anything to find.
+    """
     out = F.coalesce(text, F.lit(""))
-    for pattern in (CONTACT_LINK, EMAIL, PHONE):
-        out = F.regexp_replace(out, pattern, MASK)
-    return F.regexp_replace(out, CONTACT_NAME, f"$1{MASK}")
+    out = F.when(text.rlike(LINK_HOST), F.regexp_replace(out, CONTACT_LINK, MASK)).otherwise(out)
+    out = F.when(text.contains("@"), F.regexp_replace(out, EMAIL_RUN, MASK)).otherwise(out)
+    return F.regexp_replace(F.regexp_replace(out, PHONE_START, MASK), NAME_START, f"$1{MASK}")
 
 
 def find_pii(text: Column) -> Column:
     """Kinds of contact details in a text, in fixed order."""
-    return F.array_compact(F.array(*(F.when(text.rlike(p), F.lit(kind)) for kind, p in (("email", EMAIL), ("phone", PHONE), ("contact_link", CONTACT_LINK)))))
+    found = {"email": text.contains("@") & text.rlike(EMAIL_RUN), "phone": text.rlike(PHONE_START), "contact_link": text.rlike(LINK_HOST) & text.rlike(CONTACT_LINK)}
+    return F.array_compact(F.array(*(F.when(has, F.lit(kind)) for kind, has in found.items())))
 
 
 def hmac_sha256(key: bytes, message: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import unicodedata
+from functools import cache
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -27,16 +28,33 @@ def none_if_empty(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
 
-@F.pandas_udf(T.StringType())
-def _decompose(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: None if t is None else t if t.isascii() else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode())
+@cache
+def fold_table() -> tuple[str, str, str, list[str]]:
+    """What compatibility decomposition leaves in ASCII of single characters: those that leave one and what they leave; those
+    that leave more, longest first, and for each place what stands there (only the first of them reach a later place)."""
+    left = {}
+    for char in map(chr, range(0x80, 0x110000)):
+        if unicodedata.decomposition(char):
+            left[char] = unicodedata.normalize("NFKD", char).encode("ascii", "ignore").decode()
+    one = [c for c, plain in left.items() if len(plain) == 1]
+    many = sorted((c for c, plain in left.items() if len(plain) > 1), key=lambda c: -len(left[c]))
+    longest = len(left[many[0]])
+    return "".join(one), "".join(left[c] for c in one), "".join(many), ["".join(left[c][i] for c in many if len(left[c]) > i) for i in range(longest)]
 
 
 def ascii_fold(text: Column, exact: bool = True) -> Column:
-    """Compatibility decomposition without what is not ASCII. exact=False stays in the JVM and knows Latin-1 letters."""
-    if exact:
-        return _decompose(text)
-    return F.regexp_replace(F.translate(text, ACCENTED, PLAIN), r"[^\x00-\x7F]", "")
+    """Compatibility decomposition without what is not ASCII; null stays null. exact=False knows Latin-1 letters only.
+
+    Characters decompose one by one, so a table of all that leave anything in ASCII is enough. ASCII texts do not meet
+    it; texts are taken apart into characters only where one of them leaves several.
+    """
+    if not exact:
+        return F.regexp_replace(F.translate(text, ACCENTED, PLAIN), r"[^\x00-\x7F]", "")
+    one, plain, many, places = fold_table()
+    in_many = lambda c: F.translate(c, many, "") != c
+    spread = F.transform(F.split(text, ""), lambda c: F.when(in_many(c), F.concat(*(F.translate(c, many, p) for p in places))).otherwise(c))
+    whole = F.when(in_many(text), F.array_join(spread, "")).otherwise(text)
+    return F.when(text.rlike(r"[^\x00-\x7F]"), F.regexp_replace(F.translate(whole, one, plain), r"[^\x00-\x7F]+", "")).otherwise(text)
 
 
 def _plain_words(text: Column, exact: bool) -> Column:

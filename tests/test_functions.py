@@ -1,6 +1,9 @@
 import hashlib
 import hmac
 import math
+import random
+import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -36,6 +39,16 @@ def test_text(spark):
     assert [[tuple(x) for x in g] if g is not None else None for g in got] == [[("a", 1)], [("b", 2)], None, None]
 
 
+def test_fold_equals_the_decomposition_of_every_character(spark):
+    chars = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(chars[i : i + 64]) for i in range(0, len(chars), 64)] + [c for c in chars if unicodedata.decomposition(c)]
+    texts += ["", "plain", "x\uff21\ufb03 \u00bd caf\u0065\u0301 \U0001d400", None]
+    plain = [None if t is None else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode() for t in texts]
+    assert values(spark, text.ascii_fold, texts) == plain
+    df = spark.createDataFrame([("x",)], "x string").select(text.ascii_fold(F.col("x")))
+    assert "Python" not in df._jdf.queryExecution().toString()
+
+
 MUST = ["mail a.b@c.co.id now", "WA 0812-3456-7890", "+62 812 3456 789", "telp (021) 555 1234", "https://wa.me/62812345", "t.me/someone", "hubungi Budi Santoso segera", "CP: Rina", "a.n. Sari Dewi"]
 MUST_NOT = ["gaji Rp 5.000.000", "5.000.000 - 7.500.000", "hubungi kami sekarang", "tahun 2024", "kode 12345"]
 
@@ -52,6 +65,26 @@ def test_privacy(spark):
     assert [r[0] for r in df.select(privacy.hide_name(F.col("t"), F.col("n"))).collect()] == ["Kerja di [perusahaan] dan [perusahaan]!", "ab cd", None, "x"]
 
 
+def test_contact_details_by_brute_force(spark):
+    rnd = random.Random(5)
+    bits = ["a.b", "@", "c.co", ".id", "x_y", "%", " ", "\n", "0812", " 0812-3456-", "+62 812", "+62 ", "62", "(021)", "-", ".", "3456", "789", "WA.me/", "t.me/", "https://", "line.me", "/z", "Hubungi", "CP", "a.n.", "atas nama", "kontak", ":", " ibu ", "Budi", " Santoso", "dan", "Sari", "x"]
+    texts = ["".join(rnd.choice(bits) for _ in range(rnd.randint(1, 40))) for _ in range(4000)]
+    texts += ["a@b.com_x@y.id", "a@b.comx@y.id", "a" * 100_000, "a" * 50_000 + "@b.id", "@@a@b.c a@b.cd@e.fg", "\u212aontak Budi", "", *MUST, *MUST_NOT]
+    python = lambda p: re.compile(p.replace("(?iU)", "(?i)").replace("(?U)", ""))
+    link, email, phone, name = map(python, (privacy.CONTACT_LINK, privacy.EMAIL, privacy.PHONE, privacy.CONTACT_NAME))
+    want, kinds = [], []
+    for t in texts:
+        kinds.append([k for k, p in (("email", email), ("phone", phone), ("contact_link", link)) if len(t) < 1000 and p.search(t)])
+        out = t
+        for p in (link, email, phone) if len(t) < 1000 else ():
+            out = p.sub(privacy.MASK, out)
+        want.append(name.sub(lambda m: m[1] + privacy.MASK, out))
+    want[4003], kinds[4003] = privacy.MASK, ["email"]
+    assert values(spark, privacy.mask_text, texts) == want
+    assert values(spark, privacy.find_pii, texts) == kinds
+    assert sum(privacy.MASK in w for w in want) > 1000 and all(sum(k in x for x in kinds) > 100 for k in ("email", "phone", "contact_link"))
+
+
 def test_time(spark):
     check(spark, timefn.to_iso, [(None, None), ("", None), ("2026-10-01", "2026-10-01"), ("2026-13-01", None), ("2026-10-01T00:00:00Z", "2026-10-01T07:00:00+07:00"), ("2026-10-01T10:00:00", "2026-10-01T10:00:00+07:00"), ("2026-10-01T00:00:00.5+0700", "2026-10-01T00:00:00+07:00"), ("2026-10-01T23:30:00+00:00", "2026-10-02T06:30:00+07:00"), ("soon", None)])
     assert values(spark, timefn.from_epoch, [0, 86399], "long") == ["1970-01-01T07:00:00+07:00", "1970-01-02T06:59:59+07:00"]
