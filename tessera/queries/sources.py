@@ -9,7 +9,7 @@ from tessera.operators.graph import written
 from tessera.plans import runs
 from tessera.plans.ingest import clean
 from tessera.queries import query
-from tessera.sources import pages
+from tessera.sources import files, pages
 
 def _columns():
     """The order's number, and its price in whole units."""
@@ -139,3 +139,25 @@ def region_list(t):
     prefix = F.when(F.col("n_nationkey") % 3 == 0, "Kab. ").when(F.col("n_nationkey") % 3 == 1, "KOTA ").otherwise("")
     regencies = t("nation").select((F.col("n_nationkey") + 1000).cast("string").alias("code"), F.concat(prefix, "n_name").alias("name"), (F.col("n_regionkey") + 10).cast("string").alias("parent"))
     return gazetteer.regions(provinces, regencies)
+
+
+@query(r"""WITH o AS (SELECT o_orderkey AS n, o_orderkey // 4 AS m, o_orderkey % 4 AS i, o_custkey AS c, o_orderstatus AS s, o_orderpriority AS p FROM orders),
+l AS (SELECT n, CASE WHEN i = 0 OR c % 5 = 0 THEN 72 ELSE 144 END AS x0, CASE
+  WHEN i = 0 THEN CAST(1000 + m % 9000 AS VARCHAR) || CASE WHEN m % 3 = 0 THEN '.01' ELSE '' END || '  Teknisi nomor ' || m || CASE p WHEN '1-URGENT' THEN ' dan' WHEN '2-HIGH' THEN ' (alat' WHEN '3-MEDIUM' THEN ',' ELSE '' END
+  WHEN c % 4 = 1 THEN '- ' || c || ' -' WHEN c % 4 = 2 THEN CAST(c % 10 AS VARCHAR) || ' dikutip' WHEN s = 'F' THEN 'teknisi nomor ' || m || ' memasang' ELSE 'Mesin ' || c END AS text FROM o),
+w AS (SELECT *, lead(text, 1) OVER v AS t1, lead(text, 2) OVER v AS t2, lead(text, 3) OVER v AS t3, lead(x0, 1) OVER v AS x1, lead(x0, 2) OVER v AS x2, lead(x0, 3) OVER v AS x3 FROM l WHERE NOT regexp_matches(text, '^-\s*\d+\s*-$') WINDOW v AS (ORDER BY n)),
+h AS (SELECT *, regexp_extract(text, '^(\d{4}\.\d{2}|\d{1,4})\s+(\S.*)$', 1) AS code, trim(regexp_extract(text, '^(\d{4}\.\d{2}|\d{1,4})\s+(\S.*)$', 2)) AS title,
+  coalesce(regexp_matches(t1, '^(\d{4}\.\d{2}|\d{1,4})\s+\S') AND x1 <= 100, true) AS s1, coalesce(regexp_matches(t2, '^(\d{4}\.\d{2}|\d{1,4})\s+\S') AND x2 <= 100, true) AS s2, coalesce(regexp_matches(t3, '^(\d{4}\.\d{2}|\d{1,4})\s+\S') AND x3 <= 100, true) AS s3
+  FROM w WHERE x0 <= 100 AND regexp_matches(text, '^(\d{4}\.\d{2}|\d{1,4})\s+\S')),
+b AS (SELECT *, lower(array_to_string(list_slice(regexp_split_to_array(title, '\s+'), 1, 3), ' ')) AS start FROM h),
+e AS (SELECT *, CASE WHEN NOT s1 AND starts_with(lower(t1), start) THEN 1 WHEN NOT s1 AND NOT s2 AND starts_with(lower(t2), start) THEN 2 WHEN NOT s1 AND NOT s2 AND NOT s3 AND starts_with(lower(t3), start) THEN 3 END AS ends,
+  ends_with(lower(title), ' dan') OR ends_with(title, ',') OR contains(title, '(') AS wraps FROM b),
+f AS (SELECT code, n, CASE WHEN ends = 2 OR (ends IS NULL AND wraps AND t1 IS NOT NULL) THEN title || ' ' || t1 WHEN ends = 3 THEN title || ' ' || t1 || ' ' || t2 ELSE title END AS title FROM e)
+SELECT code, CAST(CASE WHEN contains(code, '.') THEN 5 ELSE length(code) END AS INTEGER) AS level, arg_min(title, n) AS title, CASE WHEN contains(code, '.') THEN left(code, 4) ELSE nullif(left(code, length(code) - 1), '') END AS parent_code FROM f GROUP BY code""")
+def taxonomy_headings(t):
+    n, c = F.col("o_orderkey"), F.col("o_custkey")
+    m = F.floor(n / 4).cast("long")
+    end = F.when(F.col("o_orderpriority") == "1-URGENT", " dan").when(F.col("o_orderpriority") == "2-HIGH", " (alat").when(F.col("o_orderpriority") == "3-MEDIUM", ",").otherwise("")
+    head = F.concat((m % 9000 + 1000).cast("string"), F.when(m % 3 == 0, ".01").otherwise(""), F.lit("  Teknisi nomor "), m, end)
+    other = F.when(c % 4 == 1, F.concat(F.lit("- "), c, F.lit(" -"))).when(c % 4 == 2, F.concat((c % 10).cast("string"), F.lit(" dikutip"))).when(F.col("o_orderstatus") == "F", F.concat(F.lit("teknisi nomor "), m, F.lit(" memasang"))).otherwise(F.concat(F.lit("Mesin "), c))
+    return files.taxonomy(t("orders").select(n.alias("n"), F.when((n % 4 == 0) | (c % 5 == 0), 72).otherwise(144).alias("x0"), F.when(n % 4 == 0, head).otherwise(other).alias("text")))

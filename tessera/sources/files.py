@@ -9,6 +9,9 @@ from xml.etree import ElementTree
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.graph import written
+from tessera.operators.relational import in_ranges
+
 INTEGERS = ("salary_min", "salary_max")
 TEXTS = ("source_job_id", "url", "title", "company_name", "location_raw", "salary_raw", "salary_min", "salary_max", "salary_period", "education_raw", "experience_raw", "employment_type", "description", "posted_at", "valid_through")
 
@@ -66,17 +69,32 @@ PAGE_NUMBER = r"^-\s*\d+\s*-$"
 CONNECTORS = ("dan", "atau", "serta", "di", "yang", "untuk", "dengan", "pada", "dari")
 
 
+def with_next_lines(rows: DataFrame, ahead: int = 3) -> DataFrame:
+    """(n, x0, text) rows of numbered ranges with the text and margin of each of the next lines (t1, x1, ...).
+
+    A range borrows the first lines behind it, be they of one range or of several short ones; only they meet in one
+    window, `ahead` lines a range.
+    """
+    own = Window.partitionBy("__range").orderBy("n")
+    first = rows.withColumn("__i", F.row_number().over(own)).filter(F.col("__i") <= ahead)
+    behind = Window.orderBy("__range", "n").rowsBetween(1, ahead)
+    lent = first.withColumn("__next", F.collect_list(F.struct("n", "x0", "text")).over(behind)).groupBy("__range").agg(F.max_by("__next", "__i").alias("__next"))
+    lent = lent.select("__range", F.inline("__next")).select("n", "x0", "text", "__range", F.lit(True).alias("__lent"))
+    both = rows.withColumn("__lent", F.lit(False)).unionByName(lent)
+    for k in range(1, ahead + 1):
+        both = both.withColumn(f"t{k}", F.lead("text", k).over(own)).withColumn(f"x{k}", F.lead("x0", k).over(own))
+    return both.filter(~F.col("__lent")).drop("__lent", "__range")
+
+
 def taxonomy(lines: DataFrame, margin: float = 100, heading: str = HEADING) -> DataFrame:
     """(code, level, title, parent_code) of numbered headings among (n, x0, text) lines in reading order.
 
     A heading stands at the left margin. A wrapped title goes on until a line (of the next three) that restates its
     first words; without one, only after an open bracket, a comma or a connecting word, for one line. The first
-    heading of a code counts.
+    heading of a code counts. Lines lie in ranges of n, so a list of any length is many tasks' work.
     """
-    w = Window.orderBy("n")
-    rows = lines.filter(~F.trim("text").rlike(PAGE_NUMBER)).select("n", "x0", F.trim("text").alias("text"))
-    for k in (1, 2, 3):
-        rows = rows.withColumn(f"t{k}", F.lead("text", k).over(w)).withColumn(f"x{k}", F.lead("x0", k).over(w))
+    kept = lines.filter(~F.trim("text").rlike(PAGE_NUMBER)).select("n", "x0", F.trim("text").alias("text"))
+    rows = with_next_lines(written(in_ranges(kept, [], ["n"])))
     title = F.trim(F.regexp_extract("text", heading, 2))
     heads = rows.filter(F.col("text").rlike(heading) & (F.col("x0") <= margin)).withColumn("code", F.regexp_extract("text", heading, 1)).withColumn("title", title)
     start = F.lower(F.array_join(F.slice(F.split("title", r"\s+"), 1, 3), " "))

@@ -1,4 +1,6 @@
 import json
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -76,6 +78,46 @@ def test_listing_files_and_taxonomy(spark, tmp_path):
     assert {(r["problem"], r["n"]) for r in files.taxonomy_problems(files.taxonomy(df), {1: 1, 4: 2}).collect()} == {("level 4", 1), ("orphans", 1)}
 
 
+def brute_taxonomy(lines):
+    """(code: title) by one walk over (x0, text) lines."""
+    kept = [(x, t.strip()) for x, t in lines if not re.match(r"^-\s*\d+\s*-$", t.strip())]
+    codes = {}
+    head = lambda i: kept[i][0] <= 100 and re.match(files.HEADING, kept[i][1])
+    for i in range(len(kept)):
+        if not head(i):
+            continue
+        code, title = head(i)[1], head(i)[2].strip()
+        following = []
+        for k in range(i + 1, min(i + 4, len(kept))):
+            if head(k):
+                break
+            following.append(kept[k][1])
+        start = " ".join(title.split()[:3]).lower()
+        at = next((k for k, t in enumerate(following) if t.lower().startswith(start)), None)
+        if at is not None:
+            title = " ".join([title, *following[:at]])
+        elif i + 1 < len(kept) and (title.split()[-1].lower() in files.CONNECTORS or title.endswith(",") or title.count("(") > title.count(")")):
+            title += " " + kept[i + 1][1]
+        codes.setdefault(code, title)
+    return codes
+
+
+def test_taxonomy_over_ranges(spark):
+    rnd = random.Random(6)
+    words = ["1 Manajer", "12 Teknisi dan", "1234 Ahli (alat", "1234.01 Juru,", "juru, x", "manajer mengatur", "ahli (alat berat", "teknisi dan y", "- 7 -", "lain", "besar"]
+    shapes = [[(rnd.choice((72, 144)), rnd.choice(words).replace("1", str(rnd.randint(1, 99)), 1) if rnd.random() < 0.7 else rnd.choice(words)) for _ in range(size)] for size in (0, 1, 5, 30, 3000)]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        for parts, lines in zip((3, 3, 9, 25, 7), shapes, strict=True):  # ranges of one line or none, too
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+            df = spark.createDataFrame([(i, float(x), t) for i, (x, t) in enumerate(lines)], "n int, x0 double, text string").repartition(4)
+            assert {r["code"]: r["title"] for r in files.taxonomy(df).collect()} == brute_taxonomy(lines)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_raw_store_and_ingest(spark, tmp_path):
     rows = [("s", "id/1", "https://x/1", "2026-10-09", "2026-10-09T07:00:00+07:00", page(json.dumps(POSTING)))]
     rawstore.save(spark.createDataFrame(rows, "source string, raw_id string, url string, day string, fetched_at string, body string"), str(tmp_path))
