@@ -9,6 +9,7 @@ from tessera.operators import quality
 from tessera.operators import relational as R
 from tessera.plans import marts
 from tessera.queries import query
+from tessera.queries.texts import SQL_CONTACTS, SQL_KINDS, with_contacts
 
 TODAY = "DATE '1998-08-02'"
 SQL_LAST = "(SELECT CAST(max(o_orderdate) AS DATE) FROM orders)"
@@ -150,3 +151,15 @@ def quantile_bins(t):
 def top_share(t):
     counts = t("customer").join(t("nation"), F.col("n_nationkey") == F.col("c_nationkey")).groupBy("n_name").agg(F.count(F.lit(1)).alias("n"))
     return marts.with_shares(counts).orderBy(F.desc("n"), "n_name").limit(10)
+
+
+@query(f"""WITH k AS (SELECT *, {SQL_KINDS} AS kinds FROM ({SQL_CONTACTS})), c AS (SELECT count(*) AS n, count(*) FILTER (WHERE kinds <> '') AS pii, count(*) FILTER (WHERE coalesce(lang, '') = '' OR coalesce(source, '') = '') AS empty FROM k)
+SELECT 'no_contact_details' AS "check", 'fail' AS level, CASE WHEN pii = 0 THEN 'pass' ELSE 'fail' END AS status, CAST(pii AS DOUBLE) AS value FROM c
+UNION ALL SELECT 'title_and_location_present', 'fail', CASE WHEN round_even(empty / n, 4) <= 0.01 THEN 'pass' ELSE 'fail' END, round_even((n - empty) / n, 4) FROM c""")
+def quality_contacts(t):
+    docs = with_contacts(t("documents"))
+    postings = docs.select(F.col("lang").alias("title"), F.col("source").alias("location_raw"), F.lit(None).cast("string").alias("region_code"), F.lit(False).alias("is_remote"), F.lit(None).cast("long").alias("salary_min"), "t")
+    runs = t("events").select(F.col("event_type").alias("source"), F.col("event_id").alias("started_at"), F.col("value").alias("n_saved"), F.lit(0).alias("n_skipped"))
+    codes = docs.select(F.col("lang").alias("code"))
+    found = quality.report(postings, docs.select("doc_id"), codes, codes.distinct(), runs, runs.select("source").distinct(), ["t"])
+    return found.filter(F.col("check").isin("no_contact_details", "title_and_location_present"))

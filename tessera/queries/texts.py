@@ -248,3 +248,33 @@ def two_step_classify(t):
     second = classify.code_step(spark.createDataFrame([(c,) for c in CODES], "code string"), lambda g: g)
     found, _, _ = classify.two_steps(items, stub, first, second, s)
     return found.select("id", "unit", "code", "status", "needs_review")
+
+
+# Texts of documents, some of them with a phone, a link or an address put behind.
+SQL_CONTACTS = r"""SELECT doc_id, lang, source, coalesce(text, '') || CASE WHEN doc_id % 7 = 0 THEN ' telp. (021) 555-' || (1000 + doc_id % 9000) ELSE '' END || CASE WHEN doc_id % 11 = 0 THEN ' +62 812 3456 ' || (100 + doc_id % 900) || ';' ELSE '' END
+|| CASE WHEN doc_id % 13 = 0 THEN ' Chat.WhatsApp.com/' || doc_id ELSE '' END || CASE WHEN doc_id % 17 = 0 THEN ' hrd' || doc_id || '@mail.co.id' ELSE '' END || CASE WHEN doc_id % 19 = 0 THEN ' 5.000.' || (100 + doc_id % 900) ELSE '' END AS t FROM documents"""
+# A phone's surroundings are matched along with it: the other engine can't look behind.
+SQL_KINDS = r"""(CASE WHEN regexp_matches(t, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}') THEN 'email ' ELSE '' END)
+|| (CASE WHEN regexp_matches(t, '(^|[^\p{L}\p{M}\p{Nd}_.])((\+?62|0)[\s.-]?8\d{1,3}([\s.-]?\d{2,4}){2,3}|\(?0\d{1,3}\)?[\s.-]?\d{3,4}[\s.-]?\d{3,4})($|[^\p{L}\p{M}\p{Nd}_])') THEN 'phone ' ELSE '' END)
+|| (CASE WHEN regexp_matches(t, '(?i)(https?://)?(wa\.me|api\.whatsapp\.com|chat\.whatsapp\.com|t\.me|line\.me)/\S+') THEN 'contact_link ' ELSE '' END)"""
+
+
+def with_contacts(docs):
+    k = F.col("doc_id")
+    put = lambda n, *parts: F.when(k % n == 0, F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))).otherwise("")
+    added = (put(7, " telp. (021) 555-", k % 9000 + 1000), put(11, " +62 812 3456 ", k % 900 + 100, ";"), put(13, " Chat.WhatsApp.com/", k), put(17, " hrd", k, "@mail.co.id"), put(19, " 5.000.", k % 900 + 100))
+    return docs.withColumn("t", F.concat(F.coalesce("text", F.lit("")), *added))
+
+
+@query(f"SELECT doc_id, trim({SQL_KINDS}) AS kinds FROM ({SQL_CONTACTS})")
+def contact_kinds(t):
+    return with_contacts(t("documents")).select("doc_id", F.array_join(privacy.find_pii(F.col("t")), " ").alias("kinds"))
+
+
+@query("""SELECT o_orderkey, 'Gaji 5.000.000, ' || CASE o_orderkey % 4 WHEN 0 THEN 'hubungi Bapak [disamarkan]' WHEN 1 THEN 'CP: [disamarkan]' WHEN 2 THEN 'a.n. [disamarkan]' ELSE 'hubungi kami atau kontak [disamarkan]' END || ', [disamarkan] / [disamarkan], ' || CASE WHEN o_orderkey % 3 = 0 THEN '[disamarkan] ya' ELSE 'kode ' || o_custkey END AS masked FROM orders""")
+def masked_contacts(t):
+    k, c = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+    cue = F.when(k % 4 == 0, "hubungi Bapak Budi Santoso").when(k % 4 == 1, "CP: Rina").when(k % 4 == 2, "a.n. Sari Dewi Putri").otherwise("hubungi kami atau kontak Budi")
+    phone = F.concat(F.lit(", 0812-3456-"), F.lpad((k % 10_000).cast("string"), 4, "0"), F.lit(" / hrd."), c, F.lit("@mail.co.id, "))
+    last = F.when(k % 3 == 0, F.concat(F.lit("https://wa.me/62"), c, F.lit(" ya"))).otherwise(F.concat(F.lit("kode "), c))
+    return t("orders").select("o_orderkey", privacy.mask_text(F.concat(F.lit("Gaji 5.000.000, "), cue, phone, last)).alias("masked"))
