@@ -112,16 +112,17 @@ LIMITS = runs.Limits(max_pages=500, streak=6, max_age=1500)
 
 
 @query(f"""WITH l AS (SELECT o_orderkey AS k, o_orderkey % 6 AS m, o_orderkey % 17 = 0 AND o_orderkey % 6 < 4 AS fresh, o_orderdate FROM orders),
-i AS (SELECT k, CASE WHEN k % 11 = 0 THEN 'fetch_failed' WHEN m > 3 THEN 'layout_changed' END AS error, k % 11 <> 0 AND m < 4 AND date_diff('day', CAST(o_orderdate AS DATE), DATE '1998-08-02') > {LIMITS.max_age} AS old FROM (SELECT * FROM l WHERE NOT fresh ORDER BY k LIMIT {LIMITS.max_pages})),
-g AS (SELECT *, sum(CASE WHEN old THEN 0 ELSE 1 END) OVER (ORDER BY k) AS run FROM i WHERE error IS NULL),
+a AS (SELECT k, row_number() OVER (ORDER BY k) AS nr, CASE WHEN k % 11 = 0 THEN 'fetch_failed' WHEN m > 3 THEN 'layout_changed' END AS error, k % 11 <> 0 AND m < 4 AND date_diff('day', CAST(o_orderdate AS DATE), DATE '1998-08-02') > {LIMITS.max_age} AS old FROM (SELECT * FROM l WHERE NOT fresh ORDER BY k LIMIT {LIMITS.max_pages})),
+g AS (SELECT *, sum(CASE WHEN old THEN 0 ELSE 1 END) OVER (ORDER BY k) AS run FROM a WHERE error IS NULL),
 c AS (SELECT *, sum(CAST(old AS INTEGER)) OVER (PARTITION BY run ORDER BY k) AS n FROM g),
 e AS (SELECT coalesce(min(k), 9223372036854775807) AS k FROM c WHERE n >= {LIMITS.streak}),
-w AS (SELECT i.k, error FROM i, e WHERE i.k <= coalesce((SELECT min(c.k) - 1 FROM c WHERE c.k > e.k), 9223372036854775807) AND NOT old),
+i AS (SELECT * FROM a WHERE nr <= coalesce((SELECT (a.nr + {LIMITS.step} - 1) // {LIMITS.step} * {LIMITS.step} FROM a, e WHERE a.k = e.k), nr)),
+w AS (SELECT i.k, error FROM i, e WHERE i.k <= coalesce((SELECT min(c.k) - 1 FROM c WHERE c.k > e.k AND c.k IN (SELECT k FROM i)), 9223372036854775807) AND NOT old),
 s AS (SELECT count(*) FILTER (WHERE error IS NULL) AS saved, count(*) FILTER (WHERE error IS NOT NULL) AS wrong, (SELECT error FROM w WHERE error IS NOT NULL GROUP BY error ORDER BY count(*) DESC, min(k) LIMIT 1) AS kind FROM w)
 SELECT 'x' AS source, (SELECT count(*) FROM l) AS n_listed, (SELECT count(*) FROM l WHERE fresh) AS n_fresh, (SELECT count(*) FROM i) AS n_fetched, (SELECT count(*) FROM i WHERE old) AS n_old, saved AS n_saved, wrong AS n_errors,
 CASE WHEN wrong = 0 THEN 'success' WHEN saved > 0 THEN 'partial' ELSE 'failed' END AS status, kind AS error_type, saved + (SELECT count(*) FROM l WHERE fresh) AS n_postings FROM s""")
 def source_run(t):
-    """A whole run: listing, skip of fresh postings, page cap, fetch, parse, end at a streak of old ones, landing, log."""
+    """A whole run: listing, skip of fresh postings, page cap, fetch, parse, end at a streak of old ones, landing, log; pages are fetched a hundred at a time until the streak."""
     read = lambda df: pages.structured(df, job_id=pages.id_from_url(F.col("url"), r"/o(\d+)$"))
     stored = _postings(t)
     today, now, before = F.lit("1998-08-02").cast("date"), F.lit("1998-08-02T07:00:00+07:00"), F.lit("1998-08-01T07:00:00+07:00")
