@@ -26,4 +26,4 @@ def query(sql: str | None = None) -> Callable[[Callable[..., DataFrame]], Query]
     return add
 
 
-from tessera.queries import entities, marts, relational, reports, sources, texts  # noqa: E402,F401
+from tessera.queries import entities, marts, published, relational, reports, sources, texts  # noqa: E402,F401
