@@ -87,3 +87,11 @@ def test_classify_limits_are_the_references(spark):
     reply = '[{"ref": "j1", "unit": "2431", "confidence": 0.9, "skills": [' + ", ".join(f'"s{i}"' for i in range(12)) + "]}]"
     got = classify.run_step(rows, step, lambda *_: reply, s.batch_size)[0].first()["skills"]
     assert got == [f"s{i}" for i in range(10)]
+
+
+def test_models_meet_as_one_row_each(spark, tmp_path):
+    rows = [(i, "ab"[i % 2] if i % 5 else None, 2.0 if i % 2 else 0.5) for i in range(100)]
+    spark.createDataFrame(rows, "event_id long, event_type string, value double").write.parquet(f"{tmp_path}/events.parquet")
+    got = QUERIES["distinct_models"](spark, str(tmp_path))
+    assert [r["model"] for r in got.collect()] == ["b"]
+    assert "Aggregate" in got._jdf.queryExecution().optimizedPlan().toString().split("Join LeftSemi")[1]
