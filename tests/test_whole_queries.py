@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from tessera.functions.similarity import token_set, token_sort
-from tessera.operators import classify
+from tessera.operators import classify, graph
 from tessera.queries import QUERIES
 
 
@@ -95,3 +95,16 @@ def test_models_meet_as_one_row_each(spark, tmp_path):
     got = QUERIES["distinct_models"](spark, str(tmp_path))
     assert [r["model"] for r in got.collect()] == ["b"]
     assert "Aggregate" in got._jdf.queryExecution().optimizedPlan().toString().split("Join LeftSemi")[1]
+
+
+def test_lines_without_order_or_part_and_rounds_without_orders(spark, tmp_path, monkeypatch):
+    seen = []
+    whole = graph.components
+    monkeypatch.setattr(graph, "components", lambda nodes, *more: seen.append(nodes.count()) or whole(nodes, *more))
+    links = [(i, i % 3) for i in range(300)] + [(None, 1), (7, None), (900, None), (None, 901), (12, 1), (None, None)]
+    spark.createDataFrame(links, "l_orderkey long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = {r["id"]: r["root"] for r in QUERIES["order_part_components"](spark, str(tmp_path)).collect()}
+    third = lambda k: "o0" if k in (0, 1) else "o101"
+    want = {f"o{i}": third(i % 3) for i in range(300)} | {"p0": "o0", "p1": "o0", "p2": "o101", "o900": "o900", "p901": "p901", None: None}
+    assert got == want
+    assert seen == [3]  # only parts are a graph
