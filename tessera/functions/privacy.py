@@ -65,13 +65,22 @@ def pseudonym(name: Column, key: bytes | None = None, exact: bool = True) -> Col
     return F.left(hmac_sha256(key, none_if_empty(company_key(name, exact))), F.lit(12))
 
 
-def hide_name(text: Column, name: Column, exact: bool = True) -> Column:
-    """A text without the company's own name and key, longer one first; names under three characters stay."""
-    raw, key = F.trim(name), company_key(name, exact)
-    first, second = F.when(F.length(key) > F.length(raw), key).otherwise(raw), F.when(F.length(key) > F.length(raw), raw).otherwise(key)
+def name_patterns(name: Column, exact: bool = True) -> Column:
+    """Patterns (first, second) of a company's own name and key, longer one first; null for names under three characters."""
+    pattern = lambda what: F.when(F.length(what) >= 3, F.concat(F.lit(r"(?iU)(?<!\w)"), F.regexp_replace(what, r"([^\p{L}\p{N}\s])", r"\\$1"), F.lit(r"(?!\w)")))
+    names = F.array(F.struct(F.trim(name).alias("raw"), company_key(name, exact).alias("key")))  # a lambda's argument is computed once
+    longer = lambda x: F.length(x["key"]) > F.length(x["raw"])
+    both = lambda x: F.struct(pattern(F.when(longer(x), x["key"]).otherwise(x["raw"])).alias("first"), pattern(F.when(longer(x), x["raw"]).otherwise(x["key"])).alias("second"))
+    return F.transform(names, both)[0]
+
 
-    def without(out: Column, what: Column) -> Column:
-        pattern = F.concat(F.lit(r"(?iU)(?<!\w)"), F.regexp_replace(what, r"([^\p{L}\p{N}\s])", r"\\$1"), F.lit(r"(?!\w)"))
-        return F.when(F.length(what) >= 3, F.regexp_replace(out, pattern, F.lit(NAME_MASK))).otherwise(out)
+def hide_patterns(text: Column, patterns: Column) -> Column:
+    """A text without what the patterns of `name_patterns` find."""
+    for which in ("first", "second"):
+        text = F.when(patterns[which].isNotNull(), F.regexp_replace(text, patterns[which], NAME_MASK)).otherwise(text)
+    return text
 
-    return F.when(text.isNull() | name.isNull() | (F.length(name) == 0), text).otherwise(without(without(text, first), second))
+
+def hide_name(text: Column, name: Column, exact: bool = True) -> Column:
+    """A text without the company's own name and key, longer one first; names under three characters stay."""
+    return F.when(text.isNull() | name.isNull() | (F.length(name) == 0), text).otherwise(hide_patterns(text, name_patterns(name, exact)))

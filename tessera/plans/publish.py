@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.privacy import hide_name
+from tessera.functions.privacy import hide_patterns, name_patterns
 from tessera.functions.text import region_label, short_id, truncate
 
 
@@ -20,7 +20,9 @@ def records(vacancies: DataFrame, public: bool = True, limit: int | None = 500,
     """
     top = vacancies.filter("is_active").orderBy(F.desc("first_seen"), "vacancy_id")
     top = top.limit(limit) if limit is not None else top
-    text = (lambda c: hide_name(F.col(c), F.col("company_name"), exact)) if public else F.col
+    # a company's patterns are made once a row; as they are used several times, Spark does not copy them into each use
+    top = top.withColumn("__name", name_patterns(F.col("company_name"), exact)) if public else top
+    text = (lambda c: hide_patterns(F.col(c), F.col("__name"))) if public else F.col
     only = lambda known, **fields: F.when(F.col(known).isNotNull(), F.struct(*(v.alias(k) for k, v in fields.items())))
     col = F.col
     fields = {

@@ -108,3 +108,11 @@ def test_lines_without_order_or_part_and_rounds_without_orders(spark, tmp_path,
     want = {f"o{i}": third(i % 3) for i in range(300)} | {"p0": "o0", "p1": "o0", "p2": "o101", "o900": "o900", "p901": "p901", None: None}
     assert got == want
     assert seen == [3]  # only parts are a graph
+
+
+def test_records_make_a_companys_key_once_a_row(spark):
+    fields = spark.conf.get("spark.sql.debug.maxToStringFields")
+    spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
+    plan = QUERIES["public_records"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.set("spark.sql.debug.maxToStringFields", fields)
+    assert 1 <= plan.count("perseroan terbatas") <= 2
