@@ -51,7 +51,10 @@ def _postings(t):
         .when(k % 24 == 18, F.concat(F.lit('{"@graph": [[{"name":"]]"}, ['), posting, F.lit("]]]}")))
         .otherwise(posting)
     )
-    return t("orders").select(k.alias("k"), F.concat(F.lit("https://x/o"), k).alias("url"), _script(data).alias("body"))
+    # orders are narrow and reading a page is not, so the rows are dealt out by their key, not by the files' splits
+    orders = t("orders")
+    orders = orders.repartition(int(orders.sparkSession.conf.get("spark.sql.shuffle.partitions")), "o_orderkey")
+    return orders.select(k.alias("k"), F.concat(F.lit("https://x/o"), k).alias("url"), _script(data).alias("body"))
 
 
 @query("""WITH o AS (SELECT o_orderkey AS k, o_orderkey % 6 AS m, CAST(floor(o_totalprice) AS BIGINT) AS p, * FROM orders)

@@ -181,3 +181,12 @@ def test_postings_of_any_depth_in_order(spark):
     rows = [(i, f'<script type="application/ld+json">{json.dumps(v)}</script>') for i, (v, _) in enumerate(cases)] + [(99, None), (98, '<script type="application/ld+json">{"a": ]]]</script>')]
     found = spark.createDataFrame(rows, "i int, body string").select("i", F.transform(pages.postings_in(F.col("body")), lambda v: F.try_variant_get(v, "$.title", "string")).alias("titles"))
     assert {r["i"]: r["titles"] for r in found.collect()} == {i: want for i, (_, want) in enumerate(cases)} | {99: [], 98: []}
+
+
+def test_pages_of_one_file_are_dealt_out(spark):
+    """Reading pages is many tasks' work, however few files and splits the orders have."""
+    from tessera.queries import sources as queries
+
+    one = spark.range(400).selectExpr("id o_orderkey", "id % 7 o_custkey", "'O' o_orderstatus", "id + 0.5D o_totalprice", "date'1998-01-01' o_orderdate", "'1-URGENT' o_orderpriority").coalesce(1)
+    made = queries._postings(lambda name: one).groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(made) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(r["count"] for r in made) < 200
