@@ -153,17 +153,17 @@ def repeated_anchors(found: DataFrame) -> DataFrame:
 
 def suffix_order(text: bytes, depth: int = LENGTH) -> np.ndarray:
     """Starts of all suffixes in the order of at least their first `depth` bytes."""
-    t = np.frombuffer(text, np.uint8).astype(np.int64)
+    t = np.frombuffer(text, np.uint8)  # bytes stay bytes: the scans below look up millions of them
     n = len(t)
     if n < 2:
         return np.arange(n)
     # a suffix is small if it is smaller than its successor; equal bytes are as the next different one decides
-    change = np.flatnonzero(np.diff(t) != 0)
+    change = np.flatnonzero(t[1:] != t[:-1])
     ends = np.concatenate((change, [n - 1]))
     rises = np.concatenate((t[change] < t[change + 1], [False]))
     small = np.repeat(rises, np.diff(np.concatenate(([-1], ends))))
     direct = np.flatnonzero(small[1:] & ~small[:-1]) + 1
-    order = direct[np.argsort(stretch_ranks(t, small, direct, depth), kind="stable")] if len(direct) else direct
+    order = direct[stretch_order(t, small, direct, depth)] if len(direct) else direct
     # large suffixes, by an ascending scan: each bucket's own first, in rounds over runs of its byte, then the directly sorted
     waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
     waiting[t[-1]].append(np.array([n - 1]))
@@ -171,7 +171,7 @@ def suffix_order(text: bytes, depth: int = LENGTH) -> np.ndarray:
     large: list[np.ndarray] = []
 
     def deal(items: np.ndarray, into: list[list[np.ndarray]]) -> None:
-        bytes_ = t[items].astype(np.uint8)
+        bytes_ = t[items]
         by = np.argsort(bytes_, kind="stable")
         where = np.searchsorted(bytes_[by], np.arange(257))
         for c in np.unique(bytes_).tolist():
@@ -211,9 +211,9 @@ def suffix_order(text: bytes, depth: int = LENGTH) -> np.ndarray:
     return np.concatenate(out)[::-1]
 
 
-def stretch_ranks(t: np.ndarray, small: np.ndarray, direct: np.ndarray, depth: int) -> np.ndarray:
-    """Ranks of the directly sorted suffixes: stretches between them get names in order, then doubling ranks rows of names."""
-    coded = (2 * t + small).astype(">u2").tobytes()
+def stretch_order(t: np.ndarray, small: np.ndarray, direct: np.ndarray, depth: int) -> np.ndarray:
+    """Order of the directly sorted suffixes: stretches between them get names in order, then doubling ranks rows of names."""
+    coded = (2 * t.astype(np.uint16) + small).astype(">u2").tobytes()
     ends = np.concatenate((direct[1:] + 1, [len(t)]))
     stretches = [coded[a:b] for a, b in zip((2 * direct).tolist(), (2 * ends).tolist(), strict=True)]
     name = {s: i + 1 for i, s in enumerate(sorted(set(stretches)))}
@@ -222,13 +222,14 @@ def stretch_ranks(t: np.ndarray, small: np.ndarray, direct: np.ndarray, depth: i
     while step < depth and step < len(rank):  # a stretch moves on by two bytes at least, so this is deeper than needed
         after = np.concatenate((rank[step:], np.zeros(min(step, len(rank)), np.int64)))
         key = rank * (len(rank) + 2) + after
-        order = np.argsort(key, kind="stable")
-        new = np.empty_like(rank)
-        new[order] = np.cumsum(np.concatenate(([1], np.diff(key[order]) != 0)))
-        if new.max() == len(rank):
-            return new
-        rank, step = new, 2 * step
-    return rank
+        order = np.argsort(key)  # equal keys get one rank, in whatever order they come
+        ordered = key[order]
+        steps = np.cumsum(np.concatenate(([1], ordered[1:] != ordered[:-1])))
+        if steps[-1] == len(rank):
+            return order
+        rank, step = np.empty_like(rank), 2 * step
+        rank[order] = steps
+    return np.argsort(rank, kind="stable")
 
 
 def equal_windows(text: bytes, starts: np.ndarray, length: int) -> np.ndarray:
@@ -242,8 +243,9 @@ def equal_windows(text: bytes, starts: np.ndarray, length: int) -> np.ndarray:
     eight = np.zeros(len(text) + 1, np.uint64)
     for j in range(8):
         eight |= t[j : j + len(eight)].astype(np.uint64) << np.uint64(8 * j)
-    same = np.arange(1, len(at))
-    for j in [*range(0, length - 7, 8), *([length - 8] if length % 8 else [])]:  # adjacent common prefixes, eight bytes a time
+    begins = eight[at]
+    same = np.flatnonzero(begins[1:] == begins[:-1]) + 1
+    for j in [*range(8, length - 7, 8), *([length - 8] if length % 8 else [])]:  # adjacent common prefixes, eight bytes a time
         same = same[eight[at[same] + j] == eight[at[same - 1] + j]]
     new = np.ones(len(at), bool)
     new[same] = False

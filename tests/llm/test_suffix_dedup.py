@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 
-from tessera.llm.suffix_dedup import anchors, by_distance, digest, equal_windows, remove_repeats, suffix_order
+from tessera.llm.suffix_dedup import anchors, by_distance, digest, equal_windows, remove_repeats, stretch_order, suffix_order
 
 
 def test_suffix_order():
@@ -104,3 +104,14 @@ def test_surroundings_by_distance():
             want |= {(row[0], row[1], 1000 + x) for x in hit}
     got = {(d, r, x) for d, r, a, b in by_distance(members, 12) for x in range(a, b)}
     assert got == want and want
+
+
+def test_order_of_directly_sorted_suffixes():
+    """Stretches that repeat are ordered by what follows them; the last ranking is the order, without another sort."""
+    rnd = random.Random(8)
+    for text in (bytes(rnd.choice(b"abc") for _ in range(600)), b"abcab" * 90 + b"b" + b"abcab" * 30, b"bab"):
+        t = np.frombuffer(text, np.uint8)
+        small = np.array([text[i:] < text[i + 1 :] for i in range(len(text))])
+        direct = np.flatnonzero(small[1:] & ~small[:-1]) + 1
+        got = direct[stretch_order(t, small, direct, 2000)].tolist()
+        assert got == sorted(direct.tolist(), key=lambda i: text[i:])
