@@ -30,13 +30,14 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import discard, materialize, partitions
+from tessera.llm.common import discard, materialize, materialize_by, partitions
 from tessera.llm.components import components
 from tessera.llm.hashing import AT_ONCE, mixed, shingle_hashes
 from tessera.llm.simhash import PAIR_COST, ROW_COST, bit_counts, grouped_bits, majority, meeting_chances
@@ -49,6 +50,8 @@ ROUNDS, TURNS = (4, 64, None), (2, 12, None)
 DEVIATIONS = 3.3
 #: 64-bit words of the fingerprints of texts in crowded buckets.
 SHARP = 64
+#: Rows of a text that are dealt out to buckets at once, about: the index grows with the logarithm of the texts, what lies on disk of it does not.
+AT_A_TIME = 16
 
 
 def sliced(batches: Iterator[pa.RecordBatch], size: int = 1024) -> Iterator[pa.RecordBatch]:
@@ -154,8 +157,20 @@ def allocate(n: int, parts: list[list[int]], chances: np.ndarray, differ: float,
     return out
 
 
-def buckets(distinct: DataFrame, index: list[tuple[list[int], int]], words64: int) -> DataFrame:
-    """(k, id, f0, f1 ...): each text under every bucket it meets others in."""
+def passes(index: list[tuple[list[int], int]], most: int) -> Iterator[tuple[int, list[tuple[list[int], int]]]]:
+    """(number of the first, entries): the index in parts of up to `most` rows a text, or of one entry."""
+    begin, total = 0, 0
+    for k, (part, t) in enumerate(index):
+        rows = sum(math.comb(len(part), i) for i in range(t + 1))
+        if k > begin and total + rows > most:
+            yield begin, index[begin:k]
+            begin, total = k, 0
+        total += rows
+    yield begin, index[begin:]
+
+
+def buckets(distinct: DataFrame, index: list[tuple[list[int], int]], words64: int, first: int = 0) -> DataFrame:
+    """(k, id, f0, f1 ...): each text under every bucket it meets others in. first: the number of the first entry of index."""
     from itertools import combinations
 
     bits = 64 * words64
@@ -169,7 +184,7 @@ def buckets(distinct: DataFrame, index: list[tuple[list[int], int]], words64: in
                 words = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
                 raw = np.unpackbits(words, axis=1)
                 told = [ids, *(pa.array(np.ascontiguousarray(words.view(np.int64)[:, i])) for i in range(words64))]
-                for k, (part, t) in enumerate(index):
+                for k, (part, t) in enumerate(index, first):
                     # a bucket's number: the sum of the weights of the set bits, so that a flipped bit adds or takes its weight
                     own = raw[:, part].astype(np.uint64) @ weights[part] + mixed(np.array([k], np.uint64), 11)[0]
                     step = np.where(raw[:, part] == 1, np.uint64(0) - weights[part], weights[part])
@@ -311,13 +326,17 @@ def near_copies(docs: DataFrame, key: str, text: str, size: int = 5, words64: in
     index = allocate(n, parts, meeting_chances(distinct, n, both, parts, MOST, words64), differ, recall)
     bits = 64 * words64
     limit = math.ceil(bits * differ + DEVIATIONS * math.sqrt(bits * differ * (1 - differ)))
-    first = materialize(proposed(buckets(distinct, index, words64), limit, words64, ROUNDS[0]), "near-proposed")
+    each = [materialize(proposed(buckets(distinct, some, words64, k), limit, words64, ROUNDS[0]), "near-proposed") for k, some in passes(index, AT_A_TIME)]
+    first = reduce(DataFrame.union, each)
     hot = first.filter("b is null").select("k", F.col("a").alias("id"), *(f"f{i}" for i in range(words64)))
     # the shingle sets of the texts that are or may be compared
-    needed = first.select(F.col("a").alias("id"), F.col("b").isNull().alias("crowded")).union(first.filter("b is not null").select("b", F.lit(False))).groupBy("id").agg(F.max("crowded").alias("crowded")).join(distinct.select("id", "least"), "id")
-    texts = needed.withColumnRenamed("least", "__least").join(source.select(F.col(key).alias("__least"), F.col(text).alias("__text")), "__least").groupBy("id").agg(F.first(F.coalesce("__text", F.lit(""))).alias("__text"), F.first("crowded").alias("crowded"))
-    shingled = materialize(texts.mapInArrow(sets, "id long, shingles binary, sharp binary"), "near-shingles")
+    needed = first.select(F.col("a").alias("id"), F.col("b").isNull().alias("crowded")).union(first.filter("b is not null").select("b", F.lit(False))).groupBy("id").agg(F.max("crowded").alias("crowded")).join(distinct.select("id", F.col("least").alias("__least"), F.col("node").alias("__node")), "id")
+    # a key may stand before several texts, so texts are met by both; rows of equal texts are not gathered, only those of the least key
+    told_by = F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+    texts = needed.join(source.select(F.col(key).alias("__least"), told_by.alias("__node"), F.col(text).alias("__text")), ["__least", "__node"]).groupBy("id").agg(F.first(F.coalesce("__text", F.lit(""))).alias("__text"), F.first("crowded").alias("crowded"))
+    shingled = materialize_by(texts.mapInArrow(sets, "id long, shingles binary, sharp binary"), "id", "near-shingles")
     tested = roots = None
+    spent = [*each, shingled]
 
     def rooted(c: str) -> DataFrame:
         return roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
@@ -331,6 +350,7 @@ def near_copies(docs: DataFrame, key: str, text: str, size: int = 5, words64: in
             met = met.join(shingled.filter("sharp is not null").select("id", "sharp"), "id").select(*met.columns, "sharp")
             found = materialize(proposed(met, limit, words64, most, resemblance), "near-proposed")
         pool = materialize(found.filter("b is not null").select("a", "b", "d").distinct(), "near-pool")
+        spent += [pool] if found is first else [pool, found]
         for turn in TURNS:
             left = pool
             if tested is not None:
@@ -339,10 +359,14 @@ def near_copies(docs: DataFrame, key: str, text: str, size: int = 5, words64: in
                 left = apart.select("a", "b", "d")
             if turn:
                 left = left.withColumn("nth", F.row_number().over(Window.partitionBy("b").orderBy("d", "a"))).filter(F.col("nth") <= turn)
-            joined = left.select("a", "b").join(shingled.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(shingled.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
-            now = materialize(joined.mapInArrow(verified, "a long, b long, ok boolean"), "near-tested")
-            if tested is not None and now.isEmpty():
+            # written on its own, so that the sets, which lie by id, are read only for pairs that there are, and no set is dealt out but once a pair
+            left = materialize(left.select("a", "b"), "near-left")
+            spent.append(left)
+            if tested is not None and left.isEmpty():
                 break
+            joined = left.join(shingled.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(shingled.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
+            now = materialize(joined.mapInArrow(verified, "a long, b long, ok boolean"), "near-tested")
+            spent.append(now)
             tested = now if tested is None else tested.unionByName(now)
             if roots is None or not now.filter("ok").isEmpty():
                 roots = components(tested.filter("ok").select("a", "b"))
@@ -350,5 +374,5 @@ def near_copies(docs: DataFrame, key: str, text: str, size: int = 5, words64: in
     least = roots.join(distinct.select(F.col("id").alias("node"), "least"), "node").groupBy("root").agg(F.min("least").alias("component"))
     moved = roots.join(least, "root").select(F.col("node").alias("id"), "component")
     classes = materialize(distinct.select("id", "node", "least").join(moved, "id", "left").select("node", F.coalesce("component", "least").alias("component")), "near-classes")
-    discard(first, shingled)
+    discard(*spent, distinct)
     return rows.join(classes, "node").select(key, "component")

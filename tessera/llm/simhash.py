@@ -316,4 +316,6 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options
     tagged = docs.select(F.struct("*").alias("row"), F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.xxhash64(text).alias("hash")).alias("id"), F.col(text).alias("text"))
     found = (near_copies if "resemblance" in options else near_duplicates)(tagged, "id", "text", **options)
     kept = found.filter(F.col("component") == F.col("id")).select("id").distinct()
-    return tagged.drop("text").join(kept, "id", "left_semi").dropDuplicates(["id"]).select("row.*")
+    # of one type with kept's, nullable as a written table's: the rows are dealt out once, for the join and for equal rows
+    own = tagged.select("row", F.col("id").cast(kept.schema["id"].dataType).alias("id"))
+    return own.join(kept, "id", "left_semi").dropDuplicates(["id"]).select("row.*")

@@ -213,3 +213,54 @@ def test_a_group_below_the_resemblance_sends_few_pairs(spark):
     finally:
         near.materialize = old
     assert sum(tested) < 260 * 12 < 260 * 259 / 6 and (close or all(k == v for k, v in got.items()))
+
+
+def planned(df):
+    return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+
+
+def test_texts_and_sets_are_dealt_out_once(spark, monkeypatch):
+    """Sets of shingles lie by text and are not dealt out again in each turn; the rows themselves go through one exchange."""
+    rnd = random.Random(31)
+    docs = []
+    for i in range(60):
+        t = [f"w{rnd.randrange(4000)}" for _ in range(200)]
+        docs += [(2 * i, " ".join(t)), (2 * i + 1, " ".join([*t, "end"]))]
+    monkeypatch.setattr(near, "AT_A_TIME", 4)
+    plans, written = [], []
+    old = near.materialize
+
+    def watched(df, name):
+        if name == "near-tested":
+            plans.append(planned(df))
+        written.append(name)
+        return old(df, name)
+
+    monkeypatch.setattr(near, "materialize", watched)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = keep_one(spark.createDataFrame(docs, "doc_id long, text string"), **corpus_pipeline.NEAR)
+        assert planned(kept).count("SortAggregate") == 2 and "Exchange" not in planned(kept).split("LeftSemi")[0]
+        assert {r["doc_id"] for r in kept.collect()} == set(range(0, 120, 2))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plans and all(p.count("Exchange") == 2 and p.count("Bucketed: true") == 2 for p in plans)
+    assert written.count("near-proposed") > 2
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("near_shingles")]
+
+
+def test_a_key_of_two_texts(spark):
+    """A key that stands before several texts is linked by the sets of each."""
+    rnd = random.Random(33)
+    a, b = (" ".join(f"{x}{rnd.randrange(4000)}" for _ in range(200)) for x in "pq")
+    frame = spark.createDataFrame([(1, a), (1, b), (2, f"{a} end"), (3, f"{b} end"), (4, "alone")], "doc_id long, text string")
+    got = {r["doc_id"]: r["component"] for r in near_copies(frame, "doc_id", "text", **corpus_pipeline.NEAR).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4}
+
+
+def test_passes():
+    index = [(list(range(8)), 0)] * 5 + [(list(range(8)), 1)] + [(list(range(8)), 0)] * 3
+    parts = list(near.passes(index, 4))
+    assert [(k, len(some)) for k, some in parts] == [(0, 4), (4, 1), (5, 1), (6, 3)] and [x for _, some in parts for x in some] == index
+    assert list(near.passes([], 4)) == [(0, [])]
