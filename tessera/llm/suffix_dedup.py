@@ -1,16 +1,15 @@
 """Suffix-array dedup: removal of every byte that a repeated string of `length` bytes covers (operator 8).
 
-Bringing repeats together. Every window of `length` bytes holds the hashes of length - GRAM + 1 grams; the least
-of them, equal ones all, are the window's anchors. Equal windows have equal anchors at the same places,
-so only anchors that occur twice can be of repeated windows; they are found by a narrow exchange on the anchor's
-hash. Each such anchor's surroundings (all windows around it) then meet those of equal anchors.
+Bringing repeats together. Every window of `length` bytes holds the hashes of length - GRAM + 1 grams; the leftmost
+of the least of them is the window's anchor. Equal windows have equal anchors at the same place, so only anchors that
+occur twice can be of repeated windows; they are found by a narrow exchange on the anchor's hash. Each such anchor's
+surroundings (the windows whose anchor it is, which follow each other) then meet those of equal anchors.
 
 Finding repeats. The surroundings of a batch of anchors are one string. Its suffixes are sorted in two stages:
 those that are smaller than their successor while their predecessor is larger are sorted directly, by names of
 the stretches between them and doubling; the others are induced by scans over the buckets of first bytes, first
 the suffixes larger than their successors, then the rest. Adjacent common prefixes of `length` bytes, compared
-byte by byte, make classes of equal windows; a window is repeated if another place with the same anchor at the
-same distance is in its class. Order is exact to more than `length` bytes, which is all that is compared.
+byte by byte, make classes of equal windows; a window is repeated if another place is in its class. Order is exact to more than `length` bytes, which is all that is compared.
 
 Skew: anchors and surroundings that are equal within a task are told before the exchange and go on as one
 witness, so a passage of a third of all documents sends a row a task, not a row a document. Surroundings of one
@@ -46,25 +45,46 @@ KNOWN_BYTES = 64 << 20
 # --- anchors
 
 
-def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, position, hash) of every anchor of every text."""
+def anchor_windows(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """(text number, position, hash, first, last) of every anchor of every text; the windows that begin from first to last have it."""
     buf = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     ends = np.cumsum(sizes)
     n = len(buf) - length + 1
+    none = np.zeros(0, np.int64)
     if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return none, none, np.zeros(0, np.uint64), none, none
     prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(buf)))))
     h = mixed((prefix[gram:] - prefix[:-gram]) * powers(INVERSE, len(buf) + 1)[: len(buf) - gram + 1], 9)
-    wide = length - gram + 1
-    inside = np.repeat(ends, sizes)[:n] >= np.arange(n) + length
-    least = np.where(inside, sliding(np.minimum, h, wide), np.uint64(0))
-    # a gram is an anchor if it is the least, by its whole hash, of some window that holds it
-    edge = np.zeros(wide - 1, np.uint64)
-    most = sliding(np.maximum, np.concatenate((edge, least, edge)), wide)
-    at = np.flatnonzero((most == h) & (most > 0))
+    # one number orders grams by hash (its upper half, always so that equal windows agree), then by place
+    low = np.uint64(0xFFFFFFFF)
+    least = (sliding(np.minimum, (h & ~low) | np.arange(len(h), dtype=np.uint64), length - gram + 1) & low).astype(np.int64)
+    windows = np.flatnonzero(np.repeat(ends, sizes)[:n] >= np.arange(n) + length)  # that lie in one text
+    if not len(windows):
+        return none, none, np.zeros(0, np.uint64), none, none
+    least = least[windows]
+    begin = np.concatenate(([0], np.flatnonzero(least[1:] != least[:-1]) + 1))
+    end = np.concatenate((begin[1:], [len(windows)])) - 1
+    at = least[begin]
     of = np.searchsorted(ends, at, "right")
-    return of, at - (ends[of] - sizes[of]), h[at]
+    base = ends[of] - sizes[of]
+    return of, at - base, h[at], windows[begin] - base, windows[end] - base
+
+
+def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, position, hash) of every anchor of every text."""
+    return anchor_windows(texts, length, gram)[:3]
+
+
+def packed(at: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """An anchor's position, how far before it its windows begin, and how far they reach, in one number."""
+    return at << 32 | at - first << 16 | last - first
+
+
+def unpacked(place: int) -> tuple[int, int, int]:
+    """(position, first, last)"""
+    first = (place >> 32) - (place >> 16 & 0xFFFF)
+    return place >> 32, first, first + (place & 0xFFFF)
 
 
 def sliding(pick: np.ufunc, x: np.ndarray, width: int) -> np.ndarray:
@@ -89,29 +109,29 @@ CANDIDATE, WITNESS, KNOWN = 0, 1, 2
 
 
 def anchor_rows(rows: DataFrame, length: int) -> DataFrame:
-    """(h, rk, pos, kind) of the anchors of (doc_id, text, rk) rows."""
+    """(h, rk, pos, kind) of the anchors of (doc_id, text, rk) rows; pos is `packed`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys = b[2].to_numpy()
             of, at, h = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
             for begin, part in in_parts(b[1].cast(pa.binary()).to_pylist()):
-                o, p, x = anchors(part, length)
+                o, p, x, first, last = anchor_windows(part, length)
                 of.append(o + begin)
-                at.append(p)
+                at.append(packed(p, first, last))
                 h.append(x)
             of, at, h = map(np.concatenate, (of, at, h))
             if not len(h):
                 continue
             h = h.view(np.int64)
-            _, first, inverse, times = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+            _, met, inverse, times = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
             again = times[inverse] > 1
-            seen = first[times > 1]
+            seen = met[times > 1]
             rk = keys[of]
             out = (np.concatenate((np.where(again, rk, h), h[seen])), np.concatenate((rk, rk[seen])), np.concatenate((at, at[seen])), np.concatenate((np.where(again, KNOWN, CANDIDATE), np.full(len(seen), WITNESS))))
-            yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1]), pa.array(out[2].astype(np.int32)), pa.array(out[3].astype(np.int8))], names=["h", "rk", "pos", "kind"])
+            yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1]), pa.array(out[2]), pa.array(out[3].astype(np.int8))], names=["h", "rk", "pos", "kind"])
 
-    return rows.mapInArrow(run, "h long, rk long, pos int, kind byte")
+    return rows.mapInArrow(run, "h long, rk long, pos long, kind byte")
 
 
 def repeated_anchors(found: DataFrame) -> DataFrame:
@@ -145,7 +165,7 @@ def repeated_anchors(found: DataFrame) -> DataFrame:
         if rest is not None and len(rest[0]):
             yield told(*rest)
 
-    return found.repartition(partitions(found), "h").sortWithinPartitions("h").mapInArrow(run, "rk long, pos int")
+    return found.repartition(partitions(found), "h").sortWithinPartitions("h").mapInArrow(run, "rk long, pos long")
 
 
 # --- suffix sorting
@@ -289,7 +309,7 @@ SURROUNDINGS = "h long, doc_id long, rk long, first int, place int, twice boolea
 
 
 def surroundings(rows: DataFrame, length: int) -> DataFrame:
-    """The bytes around the repeated anchors of (doc_id, text, rk, at) rows.
+    """The bytes of the windows of the repeated anchors of (doc_id, text, rk, at) rows.
 
     first: where near begins in the text; place: where the anchor is in near; twice: near was met before in this
     task. Rows without near only tell that the bytes from first to last are repeated.
@@ -302,9 +322,9 @@ def surroundings(rows: DataFrame, length: int) -> DataFrame:
         for b in batches:
             told: list[tuple] = []
             for doc, text, rk, places in zip(b[0].to_pylist(), b[1].cast(pa.binary()).to_pylist(), b[2].to_pylist(), b[3].to_pylist(), strict=True):
-                for p in places:
-                    first = max(0, p - (length - GRAM))
-                    near = text[first : p + length]
+                for place in places:
+                    p, first, last = unpacked(place)
+                    near = text[first : last + length]
                     # the anchor's place in the bytes is part of what must be equal
                     known = met.get(key := near + (p - first).to_bytes(2, "little"))
                     if known is None:
@@ -352,30 +372,23 @@ def repeated_spans(around: DataFrame, length: int) -> DataFrame:
             self.size += sum(len(near) for near, _ in group)
 
         def drain(self) -> list[tuple]:
-            parts, starts, group, place, owner = [], [], [], [], []
+            parts, starts, owner, owners = [], [], [], []
             base, number = 0, 0
-            owners = []
-            for g, members in enumerate(self.groups):
+            for members in self.groups:
                 for near, row in members:
                     n = len(near) - length + 1
-                    if n > 0:
-                        starts.append(np.arange(base, base + n))
-                        group.append(np.full(n, g))
-                        # equal windows must have the anchor at the same distance
-                        place.append(row[2] - np.arange(n))
-                        owner.append(np.full(n, number))
-                        owners.append((near, row, base))
-                        number += 1
-                        parts.append(near)
-                        base += len(near)
+                    starts.append(np.arange(base, base + n))
+                    owner.append(np.full(n, number))
+                    owners.append((near, row, base))
+                    number += 1
+                    parts.append(near)
+                    base += len(near)
             self.groups, self.size = [], 0
             if not parts:
                 return []
-            starts, group, place, owner = map(np.concatenate, (starts, group, place, owner))
-            classes = equal_windows(b"".join(parts), starts, length)
-            key = (classes * (group.max() + 1) + group) * (2 * length) + place
-            _, inverse, times = np.unique(key, return_inverse=True, return_counts=True)
-            again = times[inverse] > 1
+            starts, owner = np.concatenate(starts), np.concatenate(owner)
+            classes = equal_windows(b"".join(parts), starts, length)  # equal windows have one anchor at one distance
+            again = np.bincount(classes)[classes] > 1
             out = []
             edges = np.searchsorted(owner, np.arange(number + 1))
             for k in np.unique(owner[again]).tolist():

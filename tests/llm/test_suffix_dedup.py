@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 
-from tessera.llm.suffix_dedup import anchors, by_distance, digest, equal_windows, remove_repeats, stretch_order, suffix_order
+from tessera.llm.suffix_dedup import anchor_windows, anchors, by_distance, digest, equal_windows, packed, remove_repeats, stretch_order, suffix_order, surroundings, unpacked
 
 
 def test_suffix_order():
@@ -115,3 +115,25 @@ def test_order_of_directly_sorted_suffixes():
         direct = np.flatnonzero(small[1:] & ~small[:-1]) + 1
         got = direct[stretch_order(t, small, direct, 2000)].tolist()
         assert got == sorted(direct.tolist(), key=lambda i: text[i:])
+
+
+def test_a_window_has_one_anchor(spark):
+    """Each window lies in the surroundings of one anchor, at a distance that its bytes decide, so surroundings stay short."""
+    rnd = random.Random(4)
+    shared = bytes(rnd.randrange(97, 123) for _ in range(260))
+    texts = [bytes(rnd.randrange(97, 123) for _ in range(700)) + shared, b"", b"short", b"ab" * 150, shared + bytes(rnd.randrange(97, 123) for _ in range(900)), b"q" * 200]
+    of, at, h, first, last = anchor_windows(texts)
+    seen = {}
+    for k, p, x, a, b in zip(of.tolist(), at.tolist(), h.tolist(), first.tolist(), last.tolist()):
+        assert a <= p <= a + 136 and b <= p <= b + 136
+        for s in range(a, b + 1):
+            assert (k, s) not in seen
+            seen[k, s] = (p - s, x)
+    assert set(seen) == {(k, s) for k, t in enumerate(texts) for s in range(len(t) - 199)}
+    by_window: dict = {}
+    assert all(by_window.setdefault(texts[k][s : s + 200], found) == found for (k, s), found in seen.items())
+    places = packed(at, first, last).tolist()
+    assert [unpacked(x) for x in places] == list(zip(at.tolist(), first.tolist(), last.tolist()))
+    rows = spark.createDataFrame([(0, texts[0].decode(), 0, [x for x, k in zip(places, of.tolist()) if k == 0])], "doc_id long, text string, rk long, at array<long>")
+    near = [r["near"] for r in surroundings(rows, 200).collect()]
+    assert sum(len(x) - 199 for x in near) == len(texts[0]) - 199
