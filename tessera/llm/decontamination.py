@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import materialize, partitions
+from tessera.llm.common import materialize, partitions, sliced
 from tessera.llm.hashing import mixed, shingle_hashes
 
 WINDOW = 10
@@ -196,11 +196,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str
     rows = items.collect()  # block_bytes at most
     sent = spark.sparkContext.broadcast(Automaton([(r["id"], r["text"].encode()) for r in rows], window))
 
+    place = docs.columns.index(text)  # the text is read from the row, so that it goes to Python once
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = sent.value
-        for b in batches:
+        for b in sliced(batches):
             counts, spans, names = [], [], []
-            for t in as_bytes(b[1]):
+            for t in as_bytes(b[0].field(place)):
                 words = words_of(t) if t else []
                 hit, ids = automaton.match(words)
                 counts.append(len(words))
@@ -209,7 +211,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str
             found = found_batch(b[0], counts, spans, names)
             yield then(found) if then else found
 
-    return nested.mapInArrow(run, fields if then else out)
+    return nested.select("row").mapInArrow(run, fields if then else out)
 
 
 def window_hashes(texts: list[bytes], lengths: list[int]) -> list[np.ndarray]:

@@ -23,7 +23,7 @@ def mixed(h: np.ndarray, salt: int) -> np.ndarray:
 def powers(base: int, n: int) -> np.ndarray:
     """base ** 0 .. base ** (n - 1), modulo 2 ** 64."""
     if len(_powers.get(base, ())) < n:
-        full = np.full(max(n, AT_ONCE + 1), base, np.uint64)
+        full = np.full(1 << max(n, 1).bit_length(), base, np.uint64)
         full[0] = 1
         _powers[base] = np.cumprod(full)
     return _powers[base][:n]

@@ -37,11 +37,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import discard, materialize, materialize_by, partitions
+from tessera.llm.common import discard, materialize, materialize_by, partitions, sliced
 from tessera.llm.components import components
-from tessera.llm.hashing import AT_ONCE, mixed, shingle_hashes
+from tessera.llm.hashing import mixed, shingle_hashes
 from tessera.llm.simhash import PAIR_COST, ROW_COST, bit_counts, grouped_bits, majority, meeting_chances
 
+#: Texts are hashed together up to about so many bytes: a worker holds some 60 bytes for each.
+AT_ONCE = 1 << 18
 #: Random texts that share a bucket with a text, about; thresholds that a partition may get.
 IN_BUCKET, MOST = 32, 1
 #: Close earlier texts that each text of a bucket proposes in the rounds, and of these for a text, how many are verified in turn.
@@ -54,13 +56,6 @@ SHARP = 64
 AT_A_TIME = 16
 
 
-def sliced(batches: Iterator[pa.RecordBatch], size: int = 1024) -> Iterator[pa.RecordBatch]:
-    """Smaller batches, so that less is held twice."""
-    for b in batches:
-        for at in range(0, b.num_rows, size):
-            yield b.slice(at, size)
-
-
 def in_parts(texts: list[bytes]) -> Iterator[list[bytes]]:
     begin, total = 0, 0
     for i, t in enumerate(texts):
@@ -209,7 +204,7 @@ def proposals(f: np.ndarray, roots: np.ndarray | None, limit: int, most: int | N
     sharp: each text's set size and sharp fingerprint, within whose limits pairs must be too.
     """
     m = len(f)
-    step = max(1, (1 << 20) // m)
+    step = max(1, (1 << 18) // m)
     first, second, apart, more = [], [], [], False
     for at in range(0, m, step):
         d = distances(f, slice(at, at + step))
@@ -318,7 +313,7 @@ def near_copies(docs: DataFrame, key: str, text: str, size: int = 5, words64: in
             yield pa.RecordBatch.from_arrays([b[0], b[1], pa.array(ok, pa.bool_())], names=["a", "b", "ok"])
 
     source = docs.select(key, text)
-    rows = materialize(source.mapInArrow(told, f"`{key}` {source.schema[key].dataType.simpleString()}, node binary, fp binary"), "near-rows")
+    rows = materialize(source.mapInArrow(told, f"`{key}` {source.schema[key].dataType.simpleString()}, node binary, fp binary"), "near-rows", wide=True)
     distinct = materialize(rows.groupBy("node").agg(F.min(key).alias("least"), F.first("fp").alias("fp")).withColumn("id", F.monotonically_increasing_id()), "near-texts")
     n, both = bit_counts(distinct, words64)
     differ = differing(resemblance)
@@ -334,7 +329,7 @@ def near_copies(docs: DataFrame, key: str, text: str, size: int = 5, words64: in
     # a key may stand before several texts, so texts are met by both; rows of equal texts are not gathered, only those of the least key
     told_by = F.unhex(F.md5(F.coalesce(text, F.lit(""))))
     texts = needed.join(source.select(F.col(key).alias("__least"), told_by.alias("__node"), F.col(text).alias("__text")), ["__least", "__node"]).groupBy("id").agg(F.first(F.coalesce("__text", F.lit(""))).alias("__text"), F.first("crowded").alias("crowded"))
-    shingled = materialize_by(texts.mapInArrow(sets, "id long, shingles binary, sharp binary"), "id", "near-shingles")
+    shingled = materialize_by(texts.mapInArrow(sets, "id long, shingles binary, sharp binary"), "id", "near-shingles", wide=True)
     tested = roots = None
     spent = [*each, shingled]
 
@@ -365,7 +360,7 @@ def near_copies(docs: DataFrame, key: str, text: str, size: int = 5, words64: in
             if tested is not None and left.isEmpty():
                 break
             joined = left.join(shingled.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(shingled.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
-            now = materialize(joined.mapInArrow(verified, "a long, b long, ok boolean"), "near-tested")
+            now = materialize(joined.mapInArrow(verified, "a long, b long, ok boolean"), "near-tested", wide=True)
             spent.append(now)
             tested = now if tested is None else tested.unionByName(now)
             if roots is None or not now.filter("ok").isEmpty():

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import materialize
+from tessera.llm.common import materialize, sliced
 
 #: Labelled documents of each class in the training sample, at most, and the seed that draws them.
 SAMPLE, SEED = 4000, 5
@@ -280,6 +280,23 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     return tagger
 
 
+def scored(tagger: Tagger, texts: list[str | None], spans: bool) -> tuple[list[float], list[list[int]]]:
+    """The score of each text and, if asked for, its toxic words' byte offsets."""
+    scores, found = [], []
+    for t in texts:
+        words = words_of(t)
+        at, classes = tagger.hits(words)
+        marginals = tagger.marginals(len(words), at, classes)
+        scores.append(tagger.score(len(words), marginals))
+        bad = at[marginals >= 0.5]
+        if spans and len(bad):
+            places = [m.span() for m in WORD.finditer(t.encode())]
+            found.append([x for i in bad.tolist() for x in places[i]])
+        else:
+            found.append([])
+    return scores, found
+
+
 def score(docs: DataFrame, tagger: Tagger, text: str = "text", column: str = "score", spans: str | None = "spans") -> DataFrame:
     """docs with the score of each text (0 to 1) and, if asked for, the toxic words' byte offsets (from, to, from, to ...)."""
     sent = docs.sparkSession.sparkContext.broadcast(tagger)
@@ -288,20 +305,8 @@ def score(docs: DataFrame, tagger: Tagger, text: str = "text", column: str = "sc
     extra = [T.StructField(column, T.DoubleType()), *([T.StructField(spans, T.ArrayType(T.LongType()))] if spans else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tagger = sent.value
         for b in batches:
-            scores, found = [], []
-            for t in b[place].to_pylist():
-                words = words_of(t)
-                at, classes = tagger.hits(words)
-                marginals = tagger.marginals(len(words), at, classes)
-                scores.append(tagger.score(len(words), marginals))
-                bad = at[marginals >= 0.5]
-                if spans and len(bad):
-                    places = [m.span() for m in WORD.finditer(t.encode())]
-                    found.append([x for i in bad.tolist() for x in places[i]])
-                else:
-                    found.append([])
+            scores, found = scored(sent.value, b[place].to_pylist(), bool(spans))
             new = [pa.array(scores, pa.float64()), *([pa.array(found, pa.list_(pa.int64()))] if spans else [])]
             yield pa.RecordBatch.from_arrays([*b.columns, *new], names=[*b.schema.names, *(f.name for f in extra)])
 
@@ -311,5 +316,12 @@ def score(docs: DataFrame, tagger: Tagger, text: str = "text", column: str = "sc
 
 def keep_clean(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", limit: float = 0.5) -> DataFrame:
     """docs without the rows whose score is `limit` or more; columns as before, whatever their names."""
-    nested = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
-    return score(nested, fit(docs, labels, key, text), "text", "score", None).filter(F.col("score") < limit).select("row.*")
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, key, text))
+    place = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in sliced(batches):  # a text goes to Python once, within its row
+            scores, _ = scored(sent.value, b[place].to_pylist(), False)
+            yield b.filter(pa.array([x < limit for x in scores], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -264,3 +264,23 @@ def test_passes():
     parts = list(near.passes(index, 4))
     assert [(k, len(some)) for k, some in parts] == [(0, 4), (4, 1), (5, 1), (6, 3)] and [x for _, some in parts for x in some] == index
     assert list(near.passes([], 4)) == [(0, [])]
+
+
+def test_wide_rows_go_to_python_few_at_a_time(spark):
+    """Rows that hold texts are written in small Arrow batches; the session's own setting stays, and no text goes to Python twice."""
+    import pyarrow as pa
+
+    from tessera.llm.common import BATCH, WIDE_ROWS, materialize
+    from tessera.llm.decontamination import decontaminate
+    from tessera.llm.toxicity import keep_clean
+
+    before = spark.conf.get(BATCH)
+    seen = spark.range(0, 4 * WIDE_ROWS, 1, 1).mapInArrow(lambda batches: (pa.record_batch([pa.array([b.num_rows])], ["n"]) for b in batches), "n long")
+    sizes = [r["n"] for r in materialize(seen, "batches", wide=True).collect()]
+    assert sum(sizes) == 4 * WIDE_ROWS and max(sizes) <= WIDE_ROWS and spark.conf.get(BATCH) == before
+    docs = spark.createDataFrame([(1, "one two three", "en", "web", 13)], "doc_id long, text string, lang string, source string, n_chars int")
+    items = spark.createDataFrame([("a", "four five")], "item_id string, text string")
+    labels = spark.createDataFrame([(1, 0)], "doc_id long, toxic int")
+    for out in (decontaminate(docs, items), keep_clean(docs, labels)):
+        sent = out._jdf.queryExecution().analyzed().children().head().schema().simpleString()
+        assert sent.count("text:string") == 1 and out.collect() == docs.collect()
